@@ -1,7 +1,6 @@
 """Column expressions; everything here stays inside the JVM."""
 
 from acctweave.functions.exchange import (
-    ADDRESS_SCHEMA,
     match_outcome,
     parse_cleansing_body,
     parse_match_body,
@@ -17,7 +16,6 @@ from acctweave.functions.text import (
 )
 
 __all__ = [
-    "ADDRESS_SCHEMA",
     "compact",
     "digits",
     "first_word",

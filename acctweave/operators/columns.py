@@ -70,4 +70,4 @@ def add_zip9(df: DataFrame) -> DataFrame:
 
 def project_output(df: DataFrame, spec: FeedSpec) -> DataFrame:
     """Select and rename to the output layout, in position order."""
-    return df.select([F.col(source).alias(target) for source, target in spec.outputs])
+    return df.selectExpr(*(f"`{source}` AS `{target}`" for source, target in spec.outputs))

@@ -103,31 +103,21 @@ def flatten_cleansing(responses: DataFrame, process_type: str = "ACCOUNTS") -> D
     """
     profile = parse_cleansing_body(F.col("body"), process_type)
     parsed = responses.where("status = 200").select(RECORD_ID, F.explode(profile).alias("p"))
-    address = F.col("p.Address")
-
-    def value(field: str) -> Column:
-        if field in layouts.ADDRESS_ELEMENTS:
-            return text_of(address[layouts.ADDRESS_ELEMENTS[field]]["_VALUE"])
-        return text_of(address[f"_{layouts.ADDRESS_ATTRIBUTES[field]}"])
-
-    def fault(field: str, attribute: str) -> Column:
-        return text_of(address[layouts.ADDRESS_ELEMENTS[field]][f"_{attribute}"])
 
     if process_type == "ACCOUNTS":
-        prefix = "STD_ORG_"
-        columns = {"NAME": F.nullif(F.col("p.OrgNm"), F.lit(""))}
-        columns |= {field: value(field) for field in layouts.ADDRESS_FIELDS}
+        prefix, name = "STD_ORG_", ["nullif(p.OrgNm, '') AS STD_ORG_NAME"]
+        columns = {f: f"p.Address.{e}" for f, e in layouts.ADDRESS_ELEMENTS.items()}
     else:
-        prefix = "STD_PER_"
-        columns = {f: text_of(F.col(f"p.{e}")) for f, e in layouts.PERSON_ELEMENTS.items()}
-        for field in layouts.ADDRESS_FIELDS:
-            columns[field] = value(field)
-            if field in layouts.ADDRESS_ELEMENTS:
-                columns[f"{field}_FAULT_CD"] = fault(field, "FaultCode")
-                columns[f"{field}_FAULT_DESC"] = fault(field, "FaultDesc")
-    columns["PHONE"] = text_of(F.col("p.Phone._VALUE"))
-    columns["AREACD"] = text_of(F.col("p.Phone._PhAreaCd"))
-    return parsed.select(RECORD_ID, *(c.alias(prefix + name) for name, c in columns.items()))
+        prefix, name = "STD_PER_", []
+        columns = {field: f"p.{e}" for field, e in layouts.PERSON_ELEMENTS.items()}
+        for field, element in layouts.ADDRESS_ELEMENTS.items():
+            columns[field] = f"p.Address.{element}._VALUE"
+            columns[f"{field}_FAULT_CD"] = f"p.Address.{element}._FaultCode"
+            columns[f"{field}_FAULT_DESC"] = f"p.Address.{element}._FaultDesc"
+    columns |= {f: f"p.Address._{a}" for f, a in layouts.ADDRESS_ATTRIBUTES.items()}
+    columns |= {"PHONE": "p.Phone._VALUE", "AREACD": "p.Phone._PhAreaCd"}
+    texts = (f"coalesce({path}, '') AS {prefix}{field}" for field, path in columns.items())
+    return parsed.selectExpr(RECORD_ID, *name, *texts)
 
 
 def attach_cleansing(
@@ -152,20 +142,23 @@ def attach_matches(records: DataFrame, responses: DataFrame, policy: str = "leni
     """
     if policy not in ("lenient", "strict"):
         raise ValueError(f"policy must be 'lenient' or 'strict', not {policy!r}")
+    status, body = F.col("_status"), F.col("_body")
     answers = latest_responses(responses).select(
-        RECORD_ID,
-        F.col("status").alias("_status"),
-        match_outcome(F.col("status"), F.col("body")).alias("_clusters"),
+        RECORD_ID, F.col("status").alias("_status"), F.col("body").alias("_body")
     )
     if policy == "strict":
+        # exploding the expression itself parses each body once
+        cluster = F.explode(match_outcome(status, body))
         joined = records.join(answers, RECORD_ID)
-        cluster = F.explode("_clusters")
     else:
-        joined = records.join(answers, RECORD_ID, "left").where(
+        cluster = F.explode_outer("_clusters")
+        parsed = answers.select(
+            RECORD_ID, "_status", match_outcome(status, body).alias("_clusters")
+        )
+        joined = records.join(parsed, RECORD_ID, "left").where(
             F.col("_status").isNull() | F.col("_clusters").isNotNull()
         )
-        cluster = F.explode_outer("_clusters")
-    return joined.withColumn("_cluster", cluster).select(
+    return joined.select(*records.columns, cluster.alias("_cluster")).select(
         *records.columns,
         F.col("_cluster.clusterId").alias("ORG_ID"),
         F.col("_cluster.avgMatchProb").alias("ORG_MATCH_CONFIDENCE"),
@@ -196,6 +189,10 @@ def rejects(
     latest = latest_responses(responses)
     if requests is not None:
         latest = requests.select(RECORD_ID).join(latest, RECORD_ID, "left")
+    # one array element per reject: a filter on ``reason`` would parse each body twice
     return latest.select(
-        RECORD_ID, F.lit(stage).alias("stage"), "status", reason.alias("reason")
-    ).where(F.col("reason").isNotNull())
+        RECORD_ID,
+        F.lit(stage).alias("stage"),
+        "status",
+        F.explode(F.array_compact(F.array(reason))).alias("reason"),
+    )

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 SHARE = 0.001  # a key above this share of its side is split
 MIN_ROWS = 100_000  # ... unless it has fewer rows than this
-TRACKED = 10_000  # sketch size; finds every key above 1/7500 of the rows
+TRACKED = 4_096  # keys per sketch; enough to find every key above 1/3000 of the rows
+MERGERS = 1_024  # sketches of a scan's tasks are merged in this many groups first
 NULL_SPLITS = 1_000  # null keys match nothing and are only spread
 
 
@@ -18,19 +19,26 @@ def hot_keys(
 ) -> DataFrame:
     """``key`` and ``splits`` for the keys above ``share`` of the rows of ``df``.
 
-    A frequent-items sketch finds them in one pass with one small row per task. There are at most
-    1 / ``share`` of them, whatever the size of ``df``. The counts are estimates; they only decide
-    how finely a key is split, never which rows are joined.
+    Frequent-items sketches find them in one pass, merged in two levels so that no task receives
+    the sketches of all others. There are at most 1 / ``share`` such keys, whatever the size of
+    ``df``. The counts are estimates; they only decide how finely a key is split, never which rows
+    are joined.
     """
-    top = df.agg(
-        F.expr(f"approx_top_k({key}, {int(1 / share)}, {TRACKED})").alias("top"),
-        F.count(F.lit(1)).alias("total"),
+    sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("_merger")).agg(
+        F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED})").alias("sketch"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    top = sketches.agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch), {int(1 / share)})").alias(
+            "top"
+        ),
+        F.sum("n").alias("total"),
     )
     limit = F.greatest(F.col("total") * share, F.lit(min_rows))
     return (
         top.select("total", F.inline("top"))
         .where(F.col("item").isNotNull() & (F.col("count") > limit))
-        .select(F.col("item").alias(key), F.ceil(F.col("count") / limit).cast("int").alias("splits"))
+        .select(F.col("item").alias(key), F.ceil(F.col("count") / limit).alias("splits"))
     )
 
 

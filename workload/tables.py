@@ -8,354 +8,288 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from acctweave import layouts
+from acctweave import layouts, plans
 from acctweave import operators as op
-from acctweave.specs import FeedSpec
+from acctweave.specs import AuditSpec, FeedSpec
 
 NOW = datetime(2025, 4, 15, 9, 30, 5)
 USER = "batch"
 FILE = "accounts.csv.k1"
 SPEC = FeedSpec.accounts(FILE)
+AUDIT = AuditSpec.default()
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+RECORD_ID = "md5(concat_ws('|', kind, string(k))) AS BU_REC_ID"
 
 
-def _text(col: Column) -> Column:
-    return col.cast("string")
+def _as(columns: dict[str, str]) -> list[str]:
+    return [f"{expression} AS {name}" for name, expression in columns.items()]
 
 
-def _zero_filled(col: Column, width: int) -> Column:
-    return F.lpad(_text(col), width, "0")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def parties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers and suppliers under one numeric key ``k``, with kind and state."""
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    customers = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("kind"), "c_nationkey"
-    )
-    suppliers = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("k"), F.lit("SUPPLIER").alias("kind"), "s_nationkey"
+    customers = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS k", "c_mktsegment AS kind", "c_nationkey AS n_nationkey"
     )
-    both = customers.withColumnRenamed("c_nationkey", "n_nationkey").unionByName(
-        suppliers.withColumnRenamed("s_nationkey", "n_nationkey")
+    suppliers = table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS k", "'SUPPLIER' AS kind", "s_nationkey AS n_nationkey"
     )
-    return both.join(nation, "n_nationkey").select("k", "kind", F.col("n_name").alias("state"))
-
-
-def account_columns() -> dict[str, Column]:
-    k, kind = F.col("k"), F.col("kind")
-    return {
-        "SRC_ID": _text(k),
-        "SRC_TP_CD": kind,
-        "ORG_NAME": F.when(k % 53 == 0, "").otherwise(
-            F.concat(kind, F.lit(" Store "), _text(k % 40))
-        ),
-        "ORG_ADDRESS_LINE_1": F.concat(_text(k % 90 + 1), F.lit(" Main Street")),
-        "ORG_ADDRESS_LINE_2": F.when(k % 3 == 0, F.concat(F.lit("Suite "), _text(k % 17))),
-        "ORG_ADDRESS_LINE_3": F.lit(None).cast("string"),
-        "ORG_CITY": F.concat(F.lit("City "), _text(k % 25)),
-        "ORG_STATE": F.col("state"),
-        "ORG_ZIP_CODE": F.when(k % 29 != 0, _zero_filled(k % 60 + 501, 5)),
-        "ORG_ZIP_SUPP": F.when(k % 7 != 0, _zero_filled(k % 1000, 4)),
-        "ORG_COUNTRY": F.lit("US"),
-        "ORG_PHONE_NUMBER": F.concat(F.lit("201"), _zero_filled(k % 300, 7)),
-        "ORG_FAX_NUMBER": F.lit(None).cast("string"),
-        "ORG_WEBSITE": F.concat(F.lit("w"), _text(k), F.lit(".example")),
-    }
+    nation = table(spark, sf_dir, "nation").selectExpr("n_nationkey", "n_name AS state")
+    return customers.union(suppliers).join(nation, "n_nationkey").drop("n_nationkey")
+
+
+ACCOUNT = {
+    "SRC_ID": "string(k)",
+    "SRC_TP_CD": "kind",
+    "ORG_NAME": "if(k % 53 = 0, '', concat(kind, ' Store ', k % 40))",
+    "ORG_ADDRESS_LINE_1": "concat(k % 90 + 1, ' Main Street')",
+    "ORG_ADDRESS_LINE_2": "CASE WHEN k % 3 = 0 THEN concat('Suite ', k % 17) END",
+    "ORG_ADDRESS_LINE_3": "string(NULL)",
+    "ORG_CITY": "concat('City ', k % 25)",
+    "ORG_STATE": "state",
+    "ORG_ZIP_CODE": "CASE WHEN k % 29 <> 0 THEN lpad(string(k % 60 + 501), 5, '0') END",
+    "ORG_ZIP_SUPP": "CASE WHEN k % 7 <> 0 THEN lpad(string(k % 1000), 4, '0') END",
+    "ORG_COUNTRY": "'US'",
+    "ORG_PHONE_NUMBER": "concat('201', lpad(string(k % 300), 7, '0'))",
+    "ORG_FAX_NUMBER": "string(NULL)",
+    "ORG_WEBSITE": "concat('w', k, '.example')",
+}
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 14 input columns, nulls included."""
-    return parties(spark, sf_dir).select(*(c.alias(n) for n, c in account_columns().items()))
+    return parties(spark, sf_dir).selectExpr(*_as(ACCOUNT))
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from acctweave.plans import prepare_feed
-
-    return prepare_feed(accounts(spark, sf_dir), FILE, NOW, USER)
+    """Accounts with audit columns and record ids, nulls blanked."""
+    return plans.prepare_feed(accounts(spark, sf_dir), FILE, NOW, USER)
 
 
-def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 48-column layout, filled from the account itself; ZIP parts may be null."""
-    df = op.add_audit(accounts(spark, sf_dir), _audit(), FILE, NOW, USER)
-    df = op.add_record_id(df, "hash")
-    same = {
-        "NAME": F.upper("ORG_NAME"),
-        "ADDR1": F.upper("ORG_ADDRESS_LINE_1"),
-        "ADDR2": F.col("ORG_ADDRESS_LINE_2"),
-        "CITY": F.col("ORG_CITY"),
-        "STATE": F.col("ORG_STATE"),
-        "ZIP": F.col("ORG_ZIP_CODE"),
-        "ZIP4": F.col("ORG_ZIP_SUPP"),
-        "COUNTRY": F.col("ORG_COUNTRY"),
-        "PHONE": F.col("ORG_PHONE_NUMBER"),
-        "AREACD": F.substring("ORG_PHONE_NUMBER", 1, 3),
-    }
-    std = {
-        f"STD_ORG_{f}": same.get(f, F.lit(None).cast("string")) for f in layouts.STD_ORG_FIELDS
-    }
-    return op.project_output(df.withColumns(std), SPEC)
+# the standardized layout as the account itself fills it
+OWN = {
+    "NAME": "upper(ORG_NAME)",
+    "ADDR1": "upper(ORG_ADDRESS_LINE_1)",
+    "ADDR2": "ORG_ADDRESS_LINE_2",
+    "CITY": "ORG_CITY",
+    "STATE": "ORG_STATE",
+    "ZIP": "ORG_ZIP_CODE",
+    "ZIP4": "ORG_ZIP_SUPP",
+    "COUNTRY": "ORG_COUNTRY",
+    "PHONE": "ORG_PHONE_NUMBER",
+    "AREACD": "left(ORG_PHONE_NUMBER, 3)",
+}
 
 
-def _audit():
-    from acctweave.specs import AuditSpec
-
-    return AuditSpec.default()
+def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 48-column layout without a service; ZIP parts may be null."""
+    df = op.add_audit(accounts(spark, sf_dir), AUDIT, FILE, NOW, USER)
+    std = {f"STD_ORG_{f}": OWN.get(f, "string(NULL)") for f in layouts.STD_ORG_FIELDS}
+    return op.project_output(op.add_record_id(df, "hash").selectExpr("*", *_as(std)), SPEC)
 
 
-# ---- service answers: one per order, so records have several, and suppliers have none ----
+# ---- service answers: one per order, so customers have several and suppliers none ----
 
 
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("o"), "o_orderdate"
+    """Order key ``o`` and party columns; spread, as the orders lie in one small file."""
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_custkey AS k", "o_orderkey AS o", "o_orderdate"
     )
-    customers = parties(spark, sf_dir).where(F.col("kind") != "SUPPLIER")
-    return orders.join(customers, "k").select(
-        "k",
-        "kind",
-        "state",
-        "o",
-        F.md5(F.concat_ws("|", "kind", _text(F.col("k")))).alias("BU_REC_ID"),
-        F.concat_ws(
-            "#", F.date_format("o_orderdate", "yyyy-MM-dd"), _zero_filled(F.col("o"), 12)
-        ).alias("received_at"),
+    customers = parties(spark, sf_dir).where("kind <> 'SUPPLIER'")
+    received = "concat(date_format(o_orderdate, 'yyyy-MM-dd'), '#', lpad(string(o), 12, '0'))"
+    return (
+        op.spread(orders, spark.sparkContext.defaultParallelism)
+        .join(customers, "k")
+        .selectExpr("k", "kind", "state", "o", RECORD_ID, f"{received} AS received_at")
     )
 
 
 def match_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Status and newline-delimited JSON by the order key ``o``."""
-    o = F.col("o")
-
-    def line(i: int) -> Column:
-        percent = _zero_filled(o % 50 + 50 - i, 2)
-        return F.when(
-            o % 4 > i,
-            F.concat(
-                F.lit('{"clusterId": "C'),
-                _text(o % 97),
-                F.lit(f'-{i}", "avgMatchProb": 0.'),
-                percent,
-                F.lit("}\n"),
-            ),
-        ).otherwise("")
-
-    body = F.when(o % 37 == 0, F.concat(line(0), F.lit("{oops\n"))).otherwise(
-        F.concat(line(0), line(1), line(2), F.lit("\n"))
-    )
-    status = F.when(o % 20 == 0, 500).when(o % 20 != 1, 200)
-    return _answers(spark, sf_dir).select(
-        "BU_REC_ID", "received_at", status.alias("status"), F.when(status == 200, body).alias("body")
-    )
-
-
-def _xml_text(col: Column) -> Column:
-    escaped = F.replace(F.replace(col, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
-    return F.coalesce(escaped, F.lit(""))
-
-
-def _element(prefix: str, name: str, value: Column, attributes: Column | str = "") -> Column:
-    attributes = F.lit(attributes) if isinstance(attributes, str) else attributes
-    return F.concat(
-        F.lit(f"<{prefix}:{name}"), attributes, F.lit(">"), value, F.lit(f"</{prefix}:{name}>")
+    """Status and newline-delimited JSON by the order key."""
+
+    def line(i: int) -> str:
+        return f"""if(o % 4 > {i}, concat('{{"clusterId": "C', o % 97, '-{i}", "avgMatchProb": 0.',
+            lpad(string(o % 50 + 50 - {i}), 2, '0'), '}}\\n'), '')"""
+
+    body = f"""if(o % 37 = 0, concat({line(0)}, '{{oops\\n'),
+        concat({line(0)}, {line(1)}, {line(2)}, '\\n'))"""
+    return (
+        _answers(spark, sf_dir)
+        .selectExpr("*", "CASE WHEN o % 20 = 0 THEN 500 WHEN o % 20 <> 1 THEN 200 END AS status")
+        .selectExpr(
+            "BU_REC_ID", "received_at", "status", f"CASE WHEN status = 200 THEN {body} END AS body"
+        )
     )
 
 
-def _attribute(name: str, value: Column) -> Column:
-    return F.concat(F.lit(f" {name}='"), value, F.lit("'"))
-
-
-def cleansing_values() -> dict[str, Column]:
-    """Values of the 26 address fields of an answer, as functions of ``k`` and ``o``."""
-    k, o = F.col("k"), F.col("o")
-    a = account_columns()
-    return {
-        "ADDR1": F.concat(_text(k % 90 + 1), F.lit(" MAIN ST")),
-        "ADDR2": F.upper(a["ORG_ADDRESS_LINE_2"]),
-        "COUNTY": F.concat(F.lit("COUNTY "), _text(o % 12)),
-        "CITY": F.upper(a["ORG_CITY"]),
-        "STATE": F.col("state"),
-        "ZIP": a["ORG_ZIP_CODE"],
-        "ZIP4": a["ORG_ZIP_SUPP"],
-        "COUNTRY": F.lit("US"),
-        "LONG": F.concat(F.lit("-74."), _text(k % 100)),
-        "LAT": F.concat(F.lit("40."), _text(k % 90)),
-        "PRIM_RANGE": _text(k % 90 + 1),
-        "NOTES": F.concat(F.lit(" note "), _text(o % 5)),
-        "STREET_TYPE": F.lit("ST"),
-        "DLVRY_POINT_CD": _zero_filled(k % 90 + 1, 2),
-        "ROUTE_CD": F.concat(F.lit("C"), _zero_filled(o % 70, 3)),
-        "CHECK_DIGIT": _text(k % 10),
-        "ELOT": _zero_filled(o % 500, 4),
-        "ELOT_ORDER": F.when(o % 2 == 0, "A").otherwise("D"),
-        "FAULT_CD": F.when(o % 17 == 0, "F1").otherwise(""),
-        "FAULT_DESC": F.when(o % 17 == 0, "not found").otherwise(""),
-        "ADDR_TYPE": F.lit("S"),
-        "DPV_STATUS": F.when(o % 2 == 0, "Y").otherwise("N"),
-        "CMRA_CD": F.lit("N"),
-        "DPV_NOTE": F.concat(F.lit("AA"), _text(o % 3)),
-        "ADDR_LOC_TYPE": F.lit("B"),
-        "RESIDENT_DLVRY_IND": F.when(k % 5 == 0, "Y").otherwise("N"),
+# values of the address fields of a cleansing answer
+CLEANSED = {
+    "ADDR1": "concat(k % 90 + 1, ' MAIN ST')",
+    "ADDR2": f"upper({ACCOUNT['ORG_ADDRESS_LINE_2']})",
+    "COUNTY": "concat('COUNTY ', o % 12)",
+    "CITY": f"upper({ACCOUNT['ORG_CITY']})",
+    "STATE": "state",
+    "ZIP": ACCOUNT["ORG_ZIP_CODE"],
+    "ZIP4": ACCOUNT["ORG_ZIP_SUPP"],
+    "COUNTRY": "'US'",
+    "LONG": "concat('-74.', k % 100)",
+    "LAT": "concat('40.', k % 90)",
+    "PRIM_RANGE": "string(k % 90 + 1)",
+    "NOTES": "concat(' note ', o % 5)",
+    "STREET_TYPE": "'ST'",
+    "DLVRY_POINT_CD": "lpad(string(k % 90 + 1), 2, '0')",
+    "ROUTE_CD": "concat('C', lpad(string(o % 70), 3, '0'))",
+    "CHECK_DIGIT": "string(k % 10)",
+    "ELOT": "lpad(string(o % 500), 4, '0')",
+    "ELOT_ORDER": "if(o % 2 = 0, 'A', 'D')",
+    "FAULT_CD": "if(o % 17 = 0, 'F1', '')",
+    "FAULT_DESC": "if(o % 17 = 0, 'not found', '')",
+    "ADDR_TYPE": "'S'",
+    "DPV_STATUS": "if(o % 2 = 0, 'Y', 'N')",
+    "CMRA_CD": "'N'",
+    "DPV_NOTE": "concat('AA', o % 3)",
+    "ADDR_LOC_TYPE": "'B'",
+    "RESIDENT_DLVRY_IND": "if(k % 5 = 0, 'Y', 'N')",
+}
+
+PERSON_CLEANSED = {
+    "FIRST_NAME": "concat('FIRST', k % 19)",
+    "MIDDLE_INIT": "if(k % 2 = 0, 'M', '')",
+    "LAST_NAME": "concat('LAST', k)",
+    "PREFIX": "if(k % 2 = 0, 'MS', 'MR')",
+    "SUFFIX": "if(k % 23 = 0, 'JR', '')",
+    "GENDER": "if(k % 2 = 0, 'F', 'M')",
+}
+
+
+def _element(name: str, value: str, attributes: str = "''") -> str:
+    escaped = f"coalesce(replace(replace({value}, '&', '&amp;'), '<', '&lt;'), '')"
+    return f"concat('<{name}', {attributes}, '>', {escaped}, '</{name}>')"
+
+
+def _document(process_type: str) -> str:
+    """SQL expression of the XML body."""
+    city_fault = """if(o % 11 = 0, ' FaultCode="S1" FaultDesc="city changed"', '')"""
+    elements = {
+        f: _element(f"d:{name}", CLEANSED[f], city_fault if f == "CITY" else "''")
+        for f, name in layouts.ADDRESS_ELEMENTS.items()
     }
+    elements["NOTES"] = f"if(o % 13 = 0, '', {elements['NOTES']})"  # left out now and then
+    attributes = [
+        f"""' {name}="', {CLEANSED[f]}, '"'""" for f, name in layouts.ADDRESS_ATTRIBUTES.items()
+    ]
+    if process_type == "ACCOUNTS":
+        names = [_element("a:OrgNm", f"upper({ACCOUNT['ORG_NAME']})")]
+    else:
+        names = [
+            _element(f"a:{layouts.PERSON_ELEMENTS[f]}", v) for f, v in PERSON_CLEANSED.items()
+        ]
+    parts = [
+        """'<e:Envelope xmlns:e="urn:envelope" xmlns:a="urn:profile"><e:Body><a:Answer>'""",
+        """'<a:Profile Id="', BU_REC_ID, '">'""",
+        *names,
+        """'<d:Address xmlns:d="urn:address"'""",
+        *attributes,
+        "'>'",
+        *elements.values(),
+        "'</d:Address>'",
+        _element(
+            "p:Phone", ACCOUNT["ORG_PHONE_NUMBER"], """' xmlns:p="urn:phone" PhAreaCd="201"'"""
+        ),
+        "'</a:Profile></a:Answer></e:Body></e:Envelope>'",
+    ]
+    return f"concat({', '.join(parts)})"
 
 
 def cleansing_responses(
     spark: SparkSession, sf_dir: str, process_type: str = "ACCOUNTS"
 ) -> DataFrame:
-    """Status and namespaced XML by the order key ``o``."""
-    k, o = F.col("k"), F.col("o")
-    values = cleansing_values()
-    city_fault = F.when(
-        o % 11 == 0, F.concat(_attribute("FaultCode", F.lit("S1")), _attribute("FaultDesc", F.lit("city changed")))
-    ).otherwise("")
-    elements = []
-    for field, name in layouts.ADDRESS_ELEMENTS.items():
-        element = _element(
-            "d", name, _xml_text(values[field]), city_fault if field == "CITY" else ""
-        )
-        if field == "NOTES":  # left out altogether now and then
-            element = F.when(o % 13 == 0, "").otherwise(element)
-        elements.append(element)
-    attributes = F.concat(
-        *(_attribute(n, values[f]) for f, n in layouts.ADDRESS_ATTRIBUTES.items())
-    )
-    address = F.concat(
-        F.lit("<d:Address xmlns:d='urn:address'"),
-        attributes,
-        F.lit(">"),
-        *elements,
-        F.lit("</d:Address>"),
-    )
-    phone = _element(
-        "p",
-        "Phone",
-        account_columns()["ORG_PHONE_NUMBER"],
-        F.concat(F.lit(" xmlns:p='urn:phone'"), _attribute("PhAreaCd", F.lit("201"))),
-    )
-    if process_type == "ACCOUNTS":
-        names = _element("a", "OrgNm", _xml_text(F.upper(account_columns()["ORG_NAME"])))
-    else:
-        names = F.concat(
-            *(_element("a", layouts.PERSON_ELEMENTS[f], v) for f, v in person_values().items())
-        )
-    document = F.concat(
-        F.lit("<e:Envelope xmlns:e='urn:envelope' xmlns:a='urn:profile'><e:Body><a:Answer>"),
-        F.lit("<a:Profile Id='"),
-        F.col("BU_REC_ID"),
-        F.lit("'>"),
-        names,
-        address,
-        phone,
-        F.lit("</a:Profile></a:Answer></e:Body></e:Envelope>"),
-    )
-    body = (
-        F.when(o % 41 == 0, "gateway page")
-        .when(o % 43 == 0, "<e:Envelope xmlns:e='urn:envelope'><e:Body/></e:Envelope>")
-        .otherwise(document)
-    )
-    status = F.when(o % 31 == 0, 500).when(o % 31 != 1, 200)
-    return _answers(spark, sf_dir).select(
-        "BU_REC_ID", "received_at", status.alias("status"), F.when(status == 200, body).alias("body")
+    """Status and namespaced XML by the order key."""
+    body = f"""CASE WHEN status <> 200 THEN NULL
+        WHEN o % 41 = 0 THEN 'gateway page'
+        WHEN o % 43 = 0 THEN '<e:Envelope xmlns:e="urn:envelope"><e:Body/></e:Envelope>'
+        WHEN status = 200 THEN {_document(process_type)} END AS body"""
+    return (
+        _answers(spark, sf_dir)
+        .selectExpr("*", "CASE WHEN o % 31 = 0 THEN 500 WHEN o % 31 <> 1 THEN 200 END AS status")
+        .selectExpr("BU_REC_ID", "received_at", "status", body)
     )
 
 
 # ---- contacts ----
 
-
-def person_values() -> dict[str, Column]:
-    """Name parts in a contact answer."""
-    k = F.col("k")
-    return {
-        "FIRST_NAME": F.concat(F.lit("FIRST"), _text(k % 19)),
-        "MIDDLE_INIT": F.when(k % 2 == 0, "M").otherwise(""),
-        "LAST_NAME": F.concat(F.lit("LAST"), _text(k)),
-        "PREFIX": F.when(k % 2 == 0, "MS").otherwise("MR"),
-        "SUFFIX": F.when(k % 23 == 0, "JR").otherwise(""),
-        "GENDER": F.when(k % 2 == 0, "F").otherwise("M"),
-    }
+CONTACT = {
+    "PER_FIRST_NAME": "concat('First', k % 19)",
+    "PER_MIDDLE_NAME": "CASE WHEN k % 2 = 0 THEN 'm' END",
+    "PER_LAST_NAME": "concat('Last', k)",
+    "PER_PREFIX": "if(k % 2 = 0, 'Ms', 'Mr')",
+    "PER_SUFFIX": "CASE WHEN k % 23 = 0 THEN 'Jr' END",
+    "PER_ADDRESS_LINE_1": ACCOUNT["ORG_ADDRESS_LINE_1"],
+    "PER_ADDRESS_LINE_2": ACCOUNT["ORG_ADDRESS_LINE_2"],
+    "PER_ADDRESS_LINE_3": ACCOUNT["ORG_ADDRESS_LINE_3"],
+    "PER_CITY": ACCOUNT["ORG_CITY"],
+    "PER_STATE": ACCOUNT["ORG_STATE"],
+    "PER_ZIP_CODE": ACCOUNT["ORG_ZIP_CODE"],
+    "PER_ZIP_SUPP": ACCOUNT["ORG_ZIP_SUPP"],
+    "PER_COUNTRY": ACCOUNT["ORG_COUNTRY"],
+    "PER_PHONE_NUMBER": ACCOUNT["ORG_PHONE_NUMBER"],
+    "PER_FAX_NUMBER": ACCOUNT["ORG_FAX_NUMBER"],
+    "PER_EMAIL": "concat('p', k, '@example.org')",
+}
 
 
 def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``BU_REC_ID`` and the 16 contact input columns, one contact per account."""
-    k = F.col("k")
-    a = account_columns()
-    columns = {
-        "PER_FIRST_NAME": F.concat(F.lit("First"), _text(k % 19)),
-        "PER_MIDDLE_NAME": F.when(k % 2 == 0, "m"),
-        "PER_LAST_NAME": F.concat(F.lit("Last"), _text(k)),
-        "PER_PREFIX": F.when(k % 2 == 0, "Ms").otherwise("Mr"),
-        "PER_SUFFIX": F.when(k % 23 == 0, "Jr"),
-        "PER_ADDRESS_LINE_1": a["ORG_ADDRESS_LINE_1"],
-        "PER_ADDRESS_LINE_2": a["ORG_ADDRESS_LINE_2"],
-        "PER_ADDRESS_LINE_3": a["ORG_ADDRESS_LINE_3"],
-        "PER_CITY": a["ORG_CITY"],
-        "PER_STATE": a["ORG_STATE"],
-        "PER_ZIP_CODE": a["ORG_ZIP_CODE"],
-        "PER_ZIP_SUPP": a["ORG_ZIP_SUPP"],
-        "PER_COUNTRY": a["ORG_COUNTRY"],
-        "PER_PHONE_NUMBER": a["ORG_PHONE_NUMBER"],
-        "PER_FAX_NUMBER": a["ORG_FAX_NUMBER"],
-        "PER_EMAIL": F.concat(F.lit("p"), _text(k), F.lit("@example.org")),
-    }
-    return parties(spark, sf_dir).select(
-        F.md5(F.concat_ws("|", "kind", _text(k))).alias("BU_REC_ID"),
-        *(c.alias(n) for n, c in columns.items()),
-    )
+    return parties(spark, sf_dir).selectExpr(RECORD_ID, *_as(CONTACT))
 
 
 # ---- reference tables for the native operators ----
 
+REFERENCE = {
+    "ADDR1": "concat(h, ' main  st.')",
+    "CITY": "concat('CITY ', z % 25)",
+    "STATE": "'NJ'",
+    "ZIP": "lpad(string(z), 5, '0')",
+    "ZIP4": "lpad(string(h), 4, '0')",
+    "COUNTRY": "'US'",
+    "PRIM_RANGE": "string(h)",
+    "STREET_TYPE": "'ST'",
+    "DPV_STATUS": "if(h % 2 = 0, 'Y', 'N')",
+}
+
 
 def address_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses of the suppliers; several suppliers share one."""
-    h, z = F.col("h"), F.col("z")
-    rows = table(spark, sf_dir, "supplier").select(
-        (F.col("s_suppkey") % 90 + 1).alias("h"), (F.col("s_suppkey") % 60 + 501).alias("z")
+    rows = table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey % 90 + 1 AS h", "s_suppkey % 60 + 501 AS z"
     )
-    columns = {
-        "ADDR1": F.concat(_text(h), F.lit(" main  st.")),
-        "CITY": F.concat(F.lit("CITY "), _text(z % 25)),
-        "STATE": F.lit("NJ"),
-        "ZIP": _zero_filled(z, 5),
-        "ZIP4": _zero_filled(h, 4),
-        "COUNTRY": F.lit("US"),
-        "PRIM_RANGE": _text(h),
-        "STREET_TYPE": F.lit("ST"),
-        "DPV_STATUS": F.when(h % 2 == 0, "Y").otherwise("N"),
-    }
-    absent = F.lit(None).cast("string")
-    return rows.select(*(columns.get(f, absent).alias(f) for f in layouts.ADDRESS_FIELDS))
+    fields = {f: REFERENCE.get(f, "string(NULL)") for f in layouts.ADDRESS_FIELDS}
+    return rows.selectExpr(*_as(fields))
 
 
 def cluster_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All accounts as cluster members: one cluster per name and ZIP, every third name misspelt."""
-    a = account_columns()
-    members = parties(spark, sf_dir).select(
+    members = parties(spark, sf_dir).selectExpr(
         "k",
-        F.md5(F.concat_ws("|", "kind", _text(F.col("k")))).alias("MEMBER_ID"),
-        a["ORG_NAME"].alias("org_name"),
-        F.coalesce(a["ORG_ZIP_CODE"], F.lit("")).alias("zip5"),
-        a["ORG_ADDRESS_LINE_1"].alias("line1"),
-        a["ORG_PHONE_NUMBER"].alias("phone"),
+        RECORD_ID.replace("BU_REC_ID", "MEMBER_ID"),
+        f"{ACCOUNT['ORG_NAME']} AS org_name",
+        f"coalesce({ACCOUNT['ORG_ZIP_CODE']}, '') AS zip5",
+        f"{ACCOUNT['ORG_ADDRESS_LINE_1']} AS line1",
+        f"{ACCOUNT['ORG_PHONE_NUMBER']} AS phone",
     )
-    clusters = members.groupBy("org_name", "zip5").agg(F.min("MEMBER_ID").alias("first_member"))
-    return members.join(clusters, ["org_name", "zip5"]).select(
-        F.concat(F.lit("C-"), "first_member").alias("ORG_ID"),
+    clusters = members.groupBy("org_name", "zip5").agg({"MEMBER_ID": "min"})
+    return members.join(clusters, ["org_name", "zip5"]).selectExpr(
+        "concat('C-', `min(MEMBER_ID)`) AS ORG_ID",
         "MEMBER_ID",
-        F.when(
-            F.col("k") % 3 == 0,
-            F.substring("org_name", F.lit(1), F.greatest(F.length("org_name") - 1, F.lit(0))),
-        )
-        .otherwise(F.col("org_name"))
-        .alias("name"),
+        "if(k % 3 = 0, left(org_name, greatest(length(org_name) - 1, 0)), org_name) AS name",
         "line1",
         "zip5",
-        F.substring("phone", 1, 3).alias("areacode"),
+        "left(phone, 3) AS areacode",
         "phone",
     )

@@ -28,7 +28,8 @@ def hot_keys(
         F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED})").alias("sketch"),
         F.count(F.lit(1)).alias("n"),
     )
-    top = sketches.agg(
+    # grouped, if by nothing, so that tasks without rows add no (unreadable) empty sketch
+    top = sketches.groupBy(F.lit("all")).agg(
         F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch), {int(1 / share)})").alias(
             "top"
         ),

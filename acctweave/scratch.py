@@ -20,5 +20,4 @@ def shared_dir(spark: SparkSession, name: str = "stage") -> str:
         if not master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/acctweave/{name}-{uuid.uuid4().hex}"

@@ -101,3 +101,5 @@ def stream_feed(
         .start()
     )
     query.awaitTermination()
+    if spark.catalog.tableExists(table):  # batches write through a session of their own
+        spark.catalog.refreshTable(table)

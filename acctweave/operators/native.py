@@ -47,11 +47,13 @@ def standardize_accounts(accounts: DataFrame, addresses: DataFrame) -> DataFrame
     accounts may share one address, so the join splits hot addresses, and blank ones are spread.
     """
     fields = layouts.ADDRESS_FIELDS
+    blanked = (f"coalesce(string({f}), '') AS {f}" for f in fields)
+    attached = (f"coalesce(_ref.{f}, '') AS STD_ORG_{f}" for f in fields)
     keyed = accounts.withColumn("_address", _address("ORG_ADDRESS_LINE_1", "ORG_ZIP_CODE"))
     reference = (
         addresses.select(
             _address("ADDR1", "ZIP").alias("_address"),
-            F.struct(*(text_of(F.col(f)).alias(f) for f in fields)).alias("_ref"),
+            F.expr(f"struct({', '.join(blanked)}) AS _ref"),
         )
         .where(F.col("_address").isNotNull())
         .groupBy("_address")
@@ -61,7 +63,7 @@ def standardize_accounts(accounts: DataFrame, addresses: DataFrame) -> DataFrame
     return skew_join(keyed, reference, "_address", "left").select(
         *accounts.columns,
         standard_name(text_of(F.col("ORG_NAME"))).alias("STD_ORG_NAME"),
-        *(F.coalesce(F.col(f"_ref.{f}"), F.lit("")).alias(f"STD_ORG_{f}") for f in fields),
+        *map(F.expr, attached),
         phone.alias("STD_ORG_PHONE"),
         F.when(F.length(phone) == 10, F.substring(phone, 1, 3))
         .otherwise("")
@@ -103,6 +105,8 @@ def match_accounts(
     ``line_weight`` x line 1 similarity. The confidence is the average over the shared keys. Every
     cluster at or above ``min_score`` is returned; an account without one gives a single null row.
 
+    ``accounts`` is read more than once: hand over a stored table, see ``plans.hand_off``.
+
     Copies are compared once: accounts collapse to distinct signatures and members to one profile
     per key and cluster before they meet. So each joined pair is a candidate of the result, never
     a pair of rows within a block, and the pairs are averaged where they arise, before any shuffle.

@@ -1,5 +1,5 @@
 """End-to-end jobs."""
 
-from acctweave.plans.jobs import match_feed, prepare_feed, publish, standardize_feed
+from acctweave.plans.jobs import hand_off, match_feed, prepare_feed, publish, standardize_feed
 
-__all__ = ["match_feed", "prepare_feed", "publish", "standardize_feed"]
+__all__ = ["hand_off", "match_feed", "prepare_feed", "publish", "standardize_feed"]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 
 from acctweave import operators as op
 from acctweave.scratch import shared_dir
+from acctweave.sources import scan_stage
 from acctweave.specs import AuditSpec, FeedSpec
 
 
@@ -47,6 +48,16 @@ def standardize_feed(
     return op.project_output(enriched, spec)
 
 
+def hand_off(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` to the shared folder as Parquet and go on from the written rows.
+
+    Cuts the plan where a later step reads its input more than once, and survives lost executors.
+    """
+    path = shared_dir(df.sparkSession, name)
+    op.write_out(df, path, "PARQUET")
+    return scan_stage(df.sparkSession, path, df.schema)
+
+
 def match_feed(
     stage: DataFrame,
     responses: DataFrame | None = None,
@@ -83,10 +94,7 @@ def publish(
     The result is computed once, into the shared folder, and both sinks read it from there: a lost
     executor costs its own tasks, never a second run of the whole job.
     """
-    spark = matched.sparkSession
-    once = shared_dir(spark, "matched")
-    op.write_out(matched, once, "PARQUET")
-    written = spark.read.schema(matched.schema).parquet(once)
+    written = hand_off(matched, "matched")
     op.write_out(op.ordered_files(written), out, file_type)
     if table is not None:
         op.write_table(written, table, **table_options)

@@ -32,7 +32,7 @@ def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ordered_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t.stage(spark, sf_dir)
+    return op.project_output(t.own_standard(spark, sf_dir), t.SPEC)
 
 
 @query
@@ -404,8 +404,8 @@ def match_feed_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def match_feed_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     master = t.cluster_master(spark, sf_dir)
-    matched = plans.match_feed(standardize_feed_native(spark, sf_dir), master=master)
-    return _rounded(matched)
+    stage = plans.hand_off(standardize_feed_native(spark, sf_dir))
+    return _rounded(plans.match_feed(stage, master=master))
 
 
 @query

@@ -6,12 +6,15 @@ and ``supplier``, service answers from ``orders``, the address reference from ``
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from acctweave import layouts, plans
 from acctweave import operators as op
+from acctweave.scratch import shared_dir
 from acctweave.specs import AuditSpec, FeedSpec
 
 NOW = datetime(2025, 4, 15, 9, 30, 5)
@@ -23,6 +26,29 @@ AUDIT = AuditSpec.default()
 RECORD_ID = "md5(concat_ws('|', kind, string(k))) AS BU_REC_ID"
 
 
+WRITTEN: dict[tuple, str] = {}
+
+
+def written(derive: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Write a derived table to the shared folder once per session and read it from there after.
+
+    A feed, a response table or a reference lies in storage, in several files, before a job starts;
+    so it does here.
+    """
+
+    @wraps(derive)
+    def read(spark: SparkSession, sf_dir: str, *args: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir, derive.__name__, *args)
+        if key not in WRITTEN:
+            path = shared_dir(spark, derive.__name__)
+            files = spark.sparkContext.defaultParallelism
+            op.write_out(op.spread(derive(spark, sf_dir, *args), files), path, "PARQUET")
+            WRITTEN[key] = path
+        return spark.read.parquet(WRITTEN[key])
+
+    return read
+
+
 def _as(columns: dict[str, str]) -> list[str]:
     return [f"{expression} AS {name}" for name, expression in columns.items()]
 
@@ -61,6 +87,7 @@ ACCOUNT = {
 }
 
 
+@written
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 14 input columns, nulls included."""
     return parties(spark, sf_dir).selectExpr(*_as(ACCOUNT))
@@ -86,30 +113,36 @@ OWN = {
 }
 
 
-def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 48-column layout without a service; ZIP parts may be null."""
+def own_standard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts with all columns the output layout is projected from; ZIP parts may be null."""
     df = op.add_audit(accounts(spark, sf_dir), AUDIT, FILE, NOW, USER)
     std = {f"STD_ORG_{f}": OWN.get(f, "string(NULL)") for f in layouts.STD_ORG_FIELDS}
-    return op.project_output(op.add_record_id(df, "hash").selectExpr("*", *_as(std)), SPEC)
+    return op.add_record_id(df, "hash").selectExpr("*", *_as(std))
+
+
+@written
+def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 48-column layout without a service."""
+    return op.project_output(own_standard(spark, sf_dir), SPEC)
 
 
 # ---- service answers: one per order, so customers have several and suppliers none ----
 
 
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order key ``o`` and party columns; spread, as the orders lie in one small file."""
+    """Order key ``o`` and party columns."""
     orders = table(spark, sf_dir, "orders").selectExpr(
         "o_custkey AS k", "o_orderkey AS o", "o_orderdate"
     )
     customers = parties(spark, sf_dir).where("kind <> 'SUPPLIER'")
     received = "concat(date_format(o_orderdate, 'yyyy-MM-dd'), '#', lpad(string(o), 12, '0'))"
     return (
-        op.spread(orders, spark.sparkContext.defaultParallelism)
-        .join(customers, "k")
+        orders.join(customers, "k")
         .selectExpr("k", "kind", "state", "o", RECORD_ID, f"{received} AS received_at")
     )
 
 
+@written
 def match_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status and newline-delimited JSON by the order key."""
 
@@ -207,6 +240,7 @@ def _document(process_type: str) -> str:
     return f"concat({', '.join(parts)})"
 
 
+@written
 def cleansing_responses(
     spark: SparkSession, sf_dir: str, process_type: str = "ACCOUNTS"
 ) -> DataFrame:
@@ -244,6 +278,7 @@ CONTACT = {
 }
 
 
+@written
 def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``BU_REC_ID`` and the 16 contact input columns, one contact per account."""
     return parties(spark, sf_dir).selectExpr(RECORD_ID, *_as(CONTACT))
@@ -264,6 +299,7 @@ REFERENCE = {
 }
 
 
+@written
 def address_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses of the suppliers; several suppliers share one."""
     rows = table(spark, sf_dir, "supplier").selectExpr(
@@ -273,6 +309,7 @@ def address_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.selectExpr(*_as(fields))
 
 
+@written
 def cluster_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All accounts as cluster members: one cluster per name and ZIP, every third name misspelt."""
     members = parties(spark, sf_dir).selectExpr(
@@ -293,3 +330,14 @@ def cluster_master(spark: SparkSession, sf_dir: str) -> DataFrame:
         "left(phone, 3) AS areacode",
         "phone",
     )
+
+
+INPUTS = (
+    accounts,
+    stage,
+    match_responses,
+    cleansing_responses,
+    contacts,
+    address_reference,
+    cluster_master,
+)

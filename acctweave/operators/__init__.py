@@ -17,6 +17,7 @@ from acctweave.operators.exchange import (
     match_requests,
     rejects,
 )
+from acctweave.operators.handoff import hand_off
 from acctweave.operators.hooks import enrich_partitions
 from acctweave.operators.layout import cap_rows, ordered_files, preview, sort_output, spread
 from acctweave.operators.native import block_keys, match_accounts, standardize_accounts
@@ -35,6 +36,7 @@ __all__ = [
     "enrich_partitions",
     "fill_blank",
     "flatten_cleansing",
+    "hand_off",
     "latest_responses",
     "match_accounts",
     "match_features",

@@ -18,6 +18,7 @@ from acctweave.functions import (
     standard_name,
     text_of,
 )
+from acctweave.operators.handoff import hand_off
 from acctweave.operators.skew import skew_join
 
 NAME_WEIGHT = 0.6
@@ -105,7 +106,7 @@ def match_accounts(
     ``line_weight`` x line 1 similarity. The confidence is the average over the shared keys. Every
     cluster at or above ``min_score`` is returned; an account without one gives a single null row.
 
-    ``accounts`` is read more than once: hand over a stored table, see ``plans.hand_off``.
+    ``accounts`` is read more than once: hand over a stored table (see ``hand_off``).
 
     Copies are compared once: accounts collapse to distinct signatures and members to one profile
     per key and cluster before they meet. So each joined pair is a candidate of the result, never
@@ -120,9 +121,11 @@ def match_accounts(
     }
     signature = F.md5(F.to_json(F.struct(*(c.alias(n) for n, c in columns.items()))))
     keyed = accounts.withColumn("_signature", signature)
-    sides = _account_keys(keyed, columns), _cluster_profiles(master)
+    # both sides are read twice, for their hot keys and for the join
+    account_keys = hand_off(_account_keys(keyed, columns), "account-keys")
+    profiles = hand_off(_cluster_profiles(master), "cluster-profiles")
     scored = (
-        skew_join(*sides, "_block", left_spread=["_signature"])
+        skew_join(account_keys, profiles, "_block", left_spread=["_signature"])
         .select(
             "_signature",
             "ORG_ID",
@@ -135,7 +138,7 @@ def match_accounts(
         .agg(F.avg("_score").alias("ORG_MATCH_CONFIDENCE"))
         .where(F.col("ORG_MATCH_CONFIDENCE") >= min_score)
     )
-    return skew_join(keyed, scored, "_signature", "left").select(
+    return skew_join(keyed, scored, "_signature", "left", left_spread=["BU_REC_ID"]).select(
         *accounts.columns, "ORG_ID", "ORG_MATCH_CONFIDENCE"
     )
 

@@ -24,7 +24,7 @@ def hot_keys(
     ``df``. The counts are estimates; they only decide how finely a key is split, never which rows
     are joined.
     """
-    sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("_merger")).agg(
+    sketches = df.select(key).groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("_merger")).agg(
         F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED})").alias("sketch"),
         F.count(F.lit(1)).alias("n"),
     )
@@ -43,12 +43,9 @@ def hot_keys(
     )
 
 
-def _slice(spread_by: Sequence[str], splits: Column) -> Column:
-    return F.pmod(F.xxhash64(*spread_by), splits.cast("bigint"))
-
-
 def _numbers(splits: Column) -> Column:
-    return F.sequence(F.lit(0).cast("bigint"), splits.cast("bigint") - 1)
+    """0, 1, ... up to ``splits`` numbers."""
+    return F.sequence(F.lit(0).cast("bigint"), splits - 1)
 
 
 def skew_join(
@@ -66,32 +63,34 @@ def skew_join(
     columns), and the rows of the other side with that key are repeated in every slice, so the
     result is that of the plain join. An inner join splits hot keys of both sides; a left join
     splits those of the left side, and is meant for a right side with few rows per key.
+
+    Finding the hot keys runs a job over the key column of each side that may be split: hand over
+    stored tables. Where an inner join has none, this is the plain join.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
-    # at most 1 / share rows each: a proven bound, so both may be broadcast
-    hot_left = hot_keys(left.select(key), key, share, min_rows)
-    hot = hot_left.select(key, F.col("splits").alias("_ls"), F.lit(1).alias("_rs"))
+    # at most 1 / share keys a side, so they may pass the driver; found once, so that both sides
+    # are dealt by the same splits even if a lost executor has its rows computed again
+    splits = {r[key]: (r.splits, 1) for r in hot_keys(left, key, share, min_rows).collect()}
     if how == "inner":
-        hot_right = hot_keys(right.select(key), key, share, min_rows)
-        hot = (
-            hot.unionByName(
-                hot_right.select(key, F.lit(1).alias("_ls"), F.col("splits").alias("_rs"))
-            )
-            .groupBy(key)
-            .agg(F.max("_ls").alias("_ls"), F.max("_rs").alias("_rs"))
+        for r in hot_keys(right, key, share, min_rows).collect():
+            splits[r[key]] = (splits.get(r[key], (1, 1))[0], r.splits)
+    if not splits and how == "inner":
+        return left.join(right, key)
+    hot = F.broadcast(
+        left.sparkSession.createDataFrame(
+            [(k, *n) for k, n in splits.items()], f"`{key}` string, _ls bigint, _rs bigint"
         )
-    hot = F.broadcast(hot)
+    )
     ls = F.coalesce("_ls", F.when(F.col(key).isNull(), NULL_SPLITS).otherwise(1))
-    rs = F.coalesce("_rs", F.lit(1))
     dealt_left = left.join(hot, key, "left").select(
         *left.columns,
-        _slice(left_spread or left.columns, ls).alias("_l"),
-        F.explode(_numbers(rs)).alias("_r"),
+        F.pmod(F.xxhash64(*(left_spread or left.columns)), ls).alias("_l"),
+        F.explode(_numbers(F.coalesce("_rs", F.lit(1)))).alias("_r"),
     )
     dealt_right = right.join(hot, key, "left").select(
         *right.columns,
         F.explode(_numbers(F.coalesce("_ls", F.lit(1)))).alias("_l"),
-        _slice(right.columns, rs).alias("_r"),
+        F.pmod(F.xxhash64(*right.columns), F.coalesce("_rs", F.lit(1))).alias("_r"),
     )
     return dealt_left.join(dealt_right, [key, "_l", "_r"], how).drop("_l", "_r")

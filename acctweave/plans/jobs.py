@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 
 from acctweave import operators as op
-from acctweave.scratch import shared_dir
-from acctweave.sources import scan_stage
 from acctweave.specs import AuditSpec, FeedSpec
 
 
@@ -19,6 +18,7 @@ def prepare_feed(
     user: str,
     audit: AuditSpec | None = None,
     id_mode: str = "hash",
+    id_keys: Sequence[str] = ("SRC_TP_CD", "SRC_ID"),
 ) -> DataFrame:
     """Audit columns, record id and blanks: the records that requests are made from.
 
@@ -26,7 +26,7 @@ def prepare_feed(
     joined on ids that a recomputed plan would draw anew.
     """
     stamped = op.add_audit(feed, audit or AuditSpec.default(), file_name, now, user)
-    return op.fill_blank(op.add_record_id(stamped, id_mode))
+    return op.fill_blank(op.add_record_id(stamped, id_mode, id_keys))
 
 
 def standardize_feed(
@@ -48,16 +48,6 @@ def standardize_feed(
     return op.project_output(enriched, spec)
 
 
-def hand_off(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` to the shared folder as Parquet and go on from the written rows.
-
-    Cuts the plan where a later step reads its input more than once, and survives lost executors.
-    """
-    path = shared_dir(df.sparkSession, name)
-    op.write_out(df, path, "PARQUET")
-    return scan_stage(df.sparkSession, path, df.schema)
-
-
 def match_feed(
     stage: DataFrame,
     responses: DataFrame | None = None,
@@ -69,7 +59,8 @@ def match_feed(
     """Standardized records with ``STD_ORG_ZIP9``, ``ORG_ID`` and ``ORG_MATCH_CONFIDENCE``.
 
     Matches come from service ``responses`` under ``policy``, or from a cluster ``master``, where
-    'strict' leaves out the records without a match. ``cap`` keeps the first records only, for
+    'strict' leaves out the records without a match; ``stage`` is then read more than once and should
+    be a stored table. ``cap`` keeps the first records only, for
     trial runs.
     """
     if (responses is None) == (master is None):
@@ -94,7 +85,7 @@ def publish(
     The result is computed once, into the shared folder, and both sinks read it from there: a lost
     executor costs its own tasks, never a second run of the whole job.
     """
-    written = hand_off(matched, "matched")
+    written = op.hand_off(matched, "matched")
     op.write_out(op.ordered_files(written), out, file_type)
     if table is not None:
         op.write_table(written, table, **table_options)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctweave import operators as op
-from acctweave.plans.jobs import hand_off, match_feed, prepare_feed, standardize_feed
+from acctweave.plans.jobs import match_feed, prepare_feed, standardize_feed
 from acctweave.sources.delimited import feed_options
 from acctweave.specs import FeedSpec
 
@@ -83,9 +83,11 @@ def stream_feed(
 
     def one_batch(rows: DataFrame, batch_id: int) -> None:
         prepared = prepare_feed(rows, F.col(LANDED_FILE), now, user).drop(LANDED_FILE)
+        if addresses is not None:
+            prepared = op.hand_off(prepared, "prepared")
         stage = standardize_feed(prepared, spec, cleansing, addresses)
         if master is not None:
-            stage = hand_off(stage)
+            stage = op.hand_off(stage)
         matched = match_feed(stage, matches, master, policy)
         op.write_table(
             matched.withColumn("batch_id", F.lit(batch_id)),

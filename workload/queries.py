@@ -114,7 +114,7 @@ def parse_match_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def latest_match_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = op.latest_responses(t.match_responses(spark, sf_dir))
-    return latest.select("BU_REC_ID", "status", F.length("body").alias("body_length"))
+    return latest.select("BU_REC_ID", "status", F.length("body").cast("bigint").alias("body_length"))
 
 
 MATCHED = ("BU_REC_ID", "SRC_ID", "STD_ORG_ZIP9", "ORG_ID", "ORG_MATCH_CONFIDENCE")
@@ -404,7 +404,7 @@ def match_feed_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def match_feed_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     master = t.cluster_master(spark, sf_dir)
-    stage = plans.hand_off(standardize_feed_native(spark, sf_dir))
+    stage = op.hand_off(standardize_feed_native(spark, sf_dir))
     return _rounded(plans.match_feed(stage, master=master))
 
 

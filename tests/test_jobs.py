@@ -4,8 +4,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from acctweave import layouts, plans, sources, streaming
 from acctweave import operators as op
-from acctweave import plans, sources, streaming
 from acctweave.specs import FeedSpec
 from workload import tables as t
 
@@ -123,3 +123,49 @@ def test_stream_equals_batch_and_a_repeated_batch_changes_nothing(spark, folder)
     # a lost checkpoint: batch 0 now holds both files and replaces its old partition
     run(f"{folder}/offsets-new")
     assert spark.table(name).where("batch_id = 0").count() == 2
+
+
+def test_native_stream_equals_batch(spark, folder):
+    spec, name = FeedSpec.accounts(), f"native_{abs(hash(folder))}"
+    addresses = spark.createDataFrame(
+        [tuple({"ADDR1": "1 MAIN ST", "ZIP": "07030", "CITY": "HOBOKEN"}.get(f) for f in layouts.ADDRESS_FIELDS)],
+        ", ".join(f"{f} string" for f in layouts.ADDRESS_FIELDS),
+    )
+    master = spark.createDataFrame(
+        [("C1", "m1", "ACME, INC", "1 MAIN ST", "07030", "201", "2015550101")],
+        "ORG_ID string, MEMBER_ID string, name string, line1 string, zip5 string, "
+        "areacode string, phone string",
+    )
+    land(f"{folder}/in", "feed.csv.k1", FEED, spec)
+    streaming.stream_feed(
+        spark, f"{folder}/in", spec, name, f"{folder}/offsets", user="me", now=NOW, header=True,
+        addresses=addresses, master=master, table_path=f"{folder}/table",
+    )
+    got = spark.table(name).select("SRC_ID", "STD_ORG_CITY", "ORG_ID", "ORG_MATCH_CONFIDENCE")
+    assert rows(got) == [("1", "HOBOKEN", "C1", 1.0), ("2", "", None, None)]
+    prepared = plans.prepare_feed(spark.createDataFrame(FEED, spec.schema), "x", NOW, "me")
+    stage = op.hand_off(plans.standardize_feed(prepared, spec, addresses=addresses))
+    strict = plans.match_feed(stage, master=master, policy="strict")
+    assert rows(strict.select("SRC_ID", "ORG_ID")) == [("1", "C1")]
+
+
+def test_contact_feed(spark):
+    spec = FeedSpec.from_dict(
+        {
+            "file_config": {"process_type": "CONTACT"},
+            "input_fields": [{"name": n, "type": "STRING"} for n in layouts.CONTACT_INPUT],
+            "output_fields": [
+                {"source_field": n, "target_field": n}
+                for n in ("BU_REC_ID", "PER_EMAIL", "STD_PER_LAST_NAME", "STD_PER_CITY_FAULT_CD")
+            ],
+        }
+    )
+    feed = spark.createDataFrame([tuple(n.lower() for n in layouts.CONTACT_INPUT)], spec.schema)
+    prepared = plans.prepare_feed(feed, "c", NOW, "me", id_keys=["PER_EMAIL"])
+    body = (
+        '<e xmlns:a="urn:a"><a:Profile><a:LastNm>LEE</a:LastNm><Address><AddrCity FaultCode="S1"/>'
+        "</Address></a:Profile></e>"
+    )
+    got = prepared.select("BU_REC_ID", F.lit(200).alias("status"), F.lit(body).alias("body"))
+    out = plans.standardize_feed(prepared, spec, responses=got)
+    assert rows(out.drop("BU_REC_ID")) == [("per_email", "LEE", "S1")]

@@ -75,3 +75,13 @@ def test_other_joins_are_refused(spark):
     left, right = sides(spark)
     with pytest.raises(ValueError, match="inner"):
         skew_join(left, right, "key", "full")
+
+
+def test_both_sides_are_dealt_by_the_same_splits(spark):
+    left, right = sides(spark)
+    joined = skew_join(left, right, "key", share=0.05, min_rows=10)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    # the hot keys stand in the plan as values; nothing finds them again when it runs
+    assert "approx_top_k" not in plan
+    none_hot = skew_join(left, right, "key")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in none_hot

@@ -24,7 +24,8 @@ def hot_keys(
     ``df``. The counts are estimates; they only decide how finely a key is split, never which rows
     are joined.
     """
-    sketches = df.select(key).groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("_merger")).agg(
+    merger = F.pmod(F.spark_partition_id(), F.lit(MERGERS))
+    sketches = df.select(key).groupBy(merger.alias("_merger")).agg(
         F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED})").alias("sketch"),
         F.count(F.lit(1)).alias("n"),
     )

@@ -59,9 +59,8 @@ def match_feed(
     """Standardized records with ``STD_ORG_ZIP9``, ``ORG_ID`` and ``ORG_MATCH_CONFIDENCE``.
 
     Matches come from service ``responses`` under ``policy``, or from a cluster ``master``, where
-    'strict' leaves out the records without a match; ``stage`` is then read more than once and should
-    be a stored table. ``cap`` keeps the first records only, for
-    trial runs.
+    'strict' leaves out the records without a match; ``stage`` is then read more than once and
+    should be a stored table. ``cap`` keeps the first records only, for trial runs.
     """
     if (responses is None) == (master is None):
         raise ValueError("give either responses or master")

@@ -221,6 +221,7 @@ def sorted_output(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_metadata.row_index").alias("row"),
     )
     sizes = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    # one row per part file
     before = F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
     starts = sizes.select("file", F.coalesce(before, F.lit(0)).alias("start"))
     return rows.join(starts, "file").select(
@@ -415,7 +416,10 @@ def publish_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = _table_name(table_path)
     matched = match_feed_lenient(spark, sf_dir)
     plans.publish(matched, path, name, path=table_path)
-    written = {"csv": sources.scan_stage(spark, path, matched.schema, "CSV"), "table": spark.table(name)}
+    written = {
+        "csv": sources.scan_stage(spark, path, matched.schema, "CSV"),
+        "table": spark.table(name),
+    }
     kept = [
         df.select(F.lit(sink).alias("sink"), "BU_REC_ID", "ORG_ID", "ORG_MATCH_CONFIDENCE")
         for sink, df in written.items()

@@ -12,6 +12,7 @@ import base64
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
@@ -209,20 +210,22 @@ def _rows(rows: pa.Array) -> Iterator[list[int]]:
         yield flat[a:b].tolist()
 
 
-def ids_text(ids: Column) -> Column:
-    """Decimal ids joined by one space."""
+def digests(ids: Column, path: str = RANKS) -> Column:
+    """SHA-256, in hex, of the decimal ids joined by one space, and of the bytes they stand for."""
 
-    def joined(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        names: list[str] = []
+    def hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokens = vocabulary(path).tokens
+        names = [str(i).encode() for i in range(len(tokens))]
         for rows in batches:
-            out = []
-            for r in _rows(rows):
-                if r and (top := max(r)) >= len(names):
-                    names += map(str, range(len(names), top + 1))
-                out.append(" ".join(map(names.__getitem__, r)))
-            yield pa.array(out, pa.string())
+            found = [
+                (sha256(b" ".join(map(names.__getitem__, r))), sha256(b"".join(map(tokens.__getitem__, r))))
+                for r in _rows(rows)
+            ]
+            yield pa.StructArray.from_arrays(
+                [pa.array([f[k].hexdigest() for f in found], pa.string()) for k in (0, 1)], ["ids", "decoded"]
+            )
 
-    return F.arrow_udf(joined, "string")(ids)
+    return F.arrow_udf(hashed, "ids string, decoded string")(ids)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,11 +233,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     return (
         docs.select("doc_id", encode(F.col("text")).alias("ids"))
-        .select("doc_id", "ids", ids_text(F.col("ids")).alias("names"), decode(F.col("ids")).alias("bytes"))
-        .select(
-            "doc_id",
-            F.size("ids").cast("long").alias("n_tokens"),
-            F.sha2("names", 256).alias("ids_sha256"),
-            F.sha2("bytes", 256).alias("decoded_sha256"),
-        )
+        .select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digests(F.col("ids")).alias("d"))
+        .select("doc_id", "n_tokens", F.col("d.ids").alias("ids_sha256"), F.col("d.decoded").alias("decoded_sha256"))
     )

@@ -11,7 +11,7 @@ import re
 from collections.abc import Callable, Sequence
 
 #: Chunks kept by a worker: two generations of at most so many, whatever the corpus holds.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 _NEAR_SPACE = re.compile(r" \s|\s ")
 _CUT = re.compile(r"(?<=\S) (?=\S)")

@@ -15,14 +15,15 @@ from __future__ import annotations
 
 import math
 import os
+import struct
 from collections.abc import Iterator, Mapping
 from functools import cache
 
-import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from acctweave.llm import common, rolling
 from acctweave.llm.chunk_cache import ChunkCache
@@ -43,25 +44,27 @@ def _tokenizer(path: str, end: int) -> ChunkCache:
     tokenizer = Tokenizer.from_file(path)
 
     def encode(chunks: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch(chunks, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        found = tokenizer.encode_batch_fast(chunks, add_special_tokens=False)  # without offsets
+        return [struct.pack(f"<{len(x)}I", *x.ids) for x in found]
 
     return ChunkCache(encode)
 
 
-def tokens(text: Column, path: str = TOKENIZER, end: int = END) -> Column:
-    """The ids of whole texts and ``end``, as little-endian unsigned 32-bit numbers."""
+def tokens(docs: DataFrame, path: str = TOKENIZER, end: int = END) -> DataFrame:
+    """``doc_id``, ``source`` and ``ids`` of whole texts and ``end``, unsigned little-endian 32 bits."""
+    kept = docs.select("doc_id", "source", "text")
+    fields = [*kept.schema.fields[:2], StructField("ids", BinaryType())]
 
-    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known, last = _tokenizer(path, end), np.array([end], "<u4").tobytes()
-        for texts in batches:
-            rows = []
-            for start, stop in rolling.chunks(texts):
-                part = texts.slice(start, stop - start).to_pylist()
-                rows += [b + last for b in known.texts([t or "" for t in part])]
-            yield pa.array(rows, pa.binary())
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, last = _tokenizer(path, end), struct.pack("<I", end)
+        for batch in batches:
+            for start, stop in rolling.chunks(batch.column(2)):  # small batches go on at once
+                part = batch.slice(start, stop - start)
+                rows = [b + last for b in known.texts([t or "" for t in part.column(2).to_pylist()])]
+                columns = [part.column(0), part.column(1), pa.array(rows, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "source", "ids"])
 
-    return F.arrow_udf(ids, "binary")(text)
+    return kept.mapInArrow(encoded, StructType(fields))
 
 
 def _running(df: DataFrame, blocks: DataFrame, by: list[str], block: str, order: list[str], size: str, name: str) -> DataFrame:
@@ -103,7 +106,8 @@ def pack(
     spark = docs.sparkSession
     stored = shared_dir(spark, "tokens")
     (
-        docs.select("doc_id", F.coalesce("source", F.lit(NO_SOURCE)).alias("source"), tokens(F.col("text"), path, end).alias("ids"))
+        tokens(docs, path, end)
+        .withColumn("source", F.coalesce("source", F.lit(NO_SOURCE)))
         .withColumn("doc_tokens", (F.length("ids") / 4).cast("long"))
         .withColumn("row", F.monotonically_increasing_id())
         .write.option("compression", "zstd")

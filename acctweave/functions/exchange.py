@@ -13,23 +13,28 @@ from acctweave.functions.text import SPACE
 LINE_BREAK = r"[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 BLANK = f"^{SPACE}*$"
 MATCH_LINE = "array<struct<clusterId:string,avgMatchProb:string>>"
+WHOLE_LINE = "struct<line:struct<clusterId:string,avgMatchProb:string>>"
 STRICT_JSON = {"allowSingleQuotes": "false"}
 
 
 def parse_match_body(body: Column) -> Column:
     """``array<struct<clusterId string, avgMatchProb double>>``; null when any line is malformed.
 
-    Each line is parsed inside brackets, so trailing text, a bare value or a second object on the
-    line all fail instead of being half read. Blank lines are skipped and a blank body is an empty
+    Each line is parsed inside brackets, so a bare value or a second object on the line fail instead
+    of being half read; and once more inside an object, which text after a bracket that closes the
+    wrapper early leaves without an end. Blank lines are skipped and a blank body is an empty
     array.
     """
     lines = F.filter(
         F.split(F.coalesce(body, F.lit("")), LINE_BREAK), lambda line: ~F.rlike(line, F.lit(BLANK))
     )
-    parsed = F.transform(
-        lines,
-        lambda line: F.from_json(F.concat(F.lit("["), line, F.lit("]")), MATCH_LINE, STRICT_JSON),
-    )
+
+    def parse(line: Column) -> Column:
+        inside = F.from_json(F.concat(F.lit('{"line":'), line, F.lit("}")), WHOLE_LINE, STRICT_JSON)
+        hits = F.from_json(F.concat(F.lit("["), line, F.lit("]")), MATCH_LINE, STRICT_JSON)
+        return F.when(inside["line"].isNotNull(), hits).otherwise(F.array())
+
+    parsed = F.transform(lines, parse)
     # the parse is wrapped in a one-element array so that the check and the result share it
     checked = F.filter(
         F.array(parsed),

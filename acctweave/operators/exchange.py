@@ -85,12 +85,13 @@ def match_requests(df: DataFrame) -> DataFrame:
 
 
 def latest_responses(responses: DataFrame) -> DataFrame:
-    """One response per record id, the latest by ``received_at``.
+    """One response per record id, the latest by ``received_at``; of equal times, a usable one.
 
     A plain aggregate: repeated answers for one id are reduced before the shuffle, and the result
     is already partitioned on the record id for the join that follows.
     """
-    order = [c for c in ("received_at", "status", "body") if c in responses.columns]
+    order = [F.col(c) for c in ("received_at",) if c in responses.columns]
+    order += [F.col("status").eqNullSafe(200).alias("usable"), F.col("status"), F.col("body")]
     return responses.groupBy(RECORD_ID).agg(F.max(F.struct(*order)).alias("answer")).select(
         RECORD_ID, "answer.status", "answer.body"
     )

@@ -74,7 +74,7 @@ def standardize_accounts(accounts: DataFrame, addresses: DataFrame) -> DataFrame
 
 # ---- matching ----
 
-PROFILE_COLUMNS = ("name", "line1", "zip5", "areacode", "phone")
+MEMBER_COLUMNS = ("name", "line1", "zip5", "areacode", "phone")
 
 
 def block_keys(name: Column, zip5: Column, areacode: Column, phone: Column) -> Column:
@@ -101,16 +101,16 @@ def match_accounts(
 
     ``master`` has ``ORG_ID``, ``MEMBER_ID`` and the text columns ``name``, ``line1``, ``zip5``,
     ``areacode``, ``phone``. An account and a cluster are compared when they share a blocking key.
-    Under each shared key the cluster stands with its profile, the most frequent (name, line 1) of
-    its members having that key, and the pair scores ``name_weight`` x name similarity plus
-    ``line_weight`` x line 1 similarity. The confidence is the average over the shared keys. Every
-    cluster at or above ``min_score`` is returned; an account without one gives a single null row.
+    A pair of account and member scores ``name_weight`` x name similarity plus ``line_weight`` x
+    line 1 similarity, and the confidence is the average over all members of the cluster that share
+    a key with the account, each counted once. Every cluster at or above ``min_score`` is returned;
+    an account without one gives a single null row.
 
     ``accounts`` is read more than once: hand over a stored table (see ``hand_off``).
 
-    Copies are compared once: accounts collapse to distinct signatures and members to one profile
-    per key and cluster before they meet. So each joined pair is a candidate of the result, never
-    a pair of rows within a block, and the pairs are averaged where they arise, before any shuffle.
+    Copies are compared once: accounts collapse to distinct signatures, and the members of a cluster
+    to distinct ones with their number. A pair that shares several keys counts under the first one,
+    which either side's keys tell, and pairs are summed where they arise, before the shuffle.
     """
     columns = {
         "name": F.upper(text_of(F.col("STD_ORG_NAME"))),
@@ -123,19 +123,21 @@ def match_accounts(
     keyed = accounts.withColumn("_signature", signature)
     # both sides are read twice, for their hot keys and for the join
     account_keys = hand_off(_account_keys(keyed, columns), "account-keys")
-    profiles = hand_off(_cluster_profiles(master), "cluster-profiles")
+    members = hand_off(_member_keys(master), "member-keys")
     scored = (
-        skew_join(account_keys, profiles, "_block", left_spread=["_signature"])
+        skew_join(account_keys, members, "_block", left_spread=["_signature"])
+        .where(F.get(F.array_intersect("_keys", "p_keys"), F.lit(0)) == F.col("_block"))
         .select(
             "_signature",
             "ORG_ID",
+            "n",
             (
                 name_weight * similarity(F.col("name"), F.col("p_name"))
                 + line_weight * similarity(F.col("line1"), F.col("p_line1"))
             ).alias("_score"),
         )
         .groupBy("_signature", "ORG_ID")
-        .agg(F.avg("_score").alias("ORG_MATCH_CONFIDENCE"))
+        .agg((F.sum(F.col("n") * F.col("_score")) / F.sum("n")).alias("ORG_MATCH_CONFIDENCE"))
         .where(F.col("ORG_MATCH_CONFIDENCE") >= min_score)
     )
     return skew_join(keyed, scored, "_signature", "left", left_spread=["BU_REC_ID"]).select(
@@ -146,30 +148,30 @@ def match_accounts(
 def _account_keys(keyed: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """One row per distinct account signature and blocking key."""
     distinct = keyed.select("_signature", *(c.alias(n) for n, c in columns.items())).distinct()
-    return distinct.select("_signature", "name", "line1", F.explode(_blocks()).alias("_block"))
+    return distinct.withColumn("_keys", _blocks()).select(
+        "_signature", "name", "line1", "_keys", F.explode("_keys").alias("_block")
+    )
 
 
-def _cluster_profiles(master: DataFrame) -> DataFrame:
-    """One row per blocking key and cluster: its most frequent (name, line 1), ties by text."""
-    members = master.select(
-        "ORG_ID",
-        *(text_of(F.col(c)).alias(c) for c in PROFILE_COLUMNS),
-    ).withColumns({"name": F.upper("name"), "line1": F.upper("line1")})
+def _member_keys(master: DataFrame) -> DataFrame:
+    """One row per blocking key and distinct spelling of a cluster's members, with their number."""
+    members = (
+        master.select("ORG_ID", "MEMBER_ID", *(text_of(F.col(c)).alias(c) for c in MEMBER_COLUMNS))
+        .withColumns({"name": F.upper("name"), "line1": F.upper("line1")})
+        .distinct()
+    )
     spellings = (
-        members.select("ORG_ID", "name", "line1", F.explode(_blocks()).alias("_block"))
-        .groupBy("_block", "ORG_ID", "name", "line1")
+        members.withColumn("p_keys", _blocks())
+        .groupBy("ORG_ID", "name", "line1", "p_keys")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    profile = F.max(F.struct("n", F.col("name"), F.col("line1"))).alias("profile")
-    return (
-        spellings.groupBy("_block", "ORG_ID")
-        .agg(profile)
-        .select(
-            "_block",
-            "ORG_ID",
-            F.col("profile.name").alias("p_name"),
-            F.col("profile.line1").alias("p_line1"),
-        )
+    return spellings.select(
+        "ORG_ID",
+        F.col("name").alias("p_name"),
+        F.col("line1").alias("p_line1"),
+        "p_keys",
+        "n",
+        F.explode("p_keys").alias("_block"),
     )
 
 

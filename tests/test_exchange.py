@@ -3,9 +3,11 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from acctweave import layouts
 from acctweave import operators as op
+from acctweave.functions.exchange import parse_match_body
 
 RESPONSE = "BU_REC_ID string, status int, body string"
 STAGE = [
@@ -236,5 +238,18 @@ def test_each_body_is_parsed_once(spark):
     for parser, frames in plans.items():
         for frame in frames:
             plan = frame._jdf.queryExecution().optimizedPlan().toString()
-            # XML: the profile, and the document for its well-formedness
-            assert plan.count(parser) == (1 if parser == "from_json(" else 2)
+            # once for the content, once more for the well-formedness of what surrounds it
+            assert plan.count(parser) == 2
+
+
+def test_text_after_a_closing_bracket_makes_a_line_malformed(spark):
+    hit = '{"clusterId":"A","avgMatchProb":"0.5"}'
+    bodies = [(hit + "] junk",), (hit + "]" + hit,), (hit + "]",), (hit + "}",), (hit,)]
+    got = spark.createDataFrame(bodies, "body string").select(parse_match_body(F.col("body")).alias("m"))
+    assert [r.m and r.m[0].clusterId for r in got.collect()] == [None, None, None, None, "A"]
+
+
+def test_of_answers_at_one_time_a_usable_one_counts(spark):
+    rows = [("r", 500, "bad"), ("r", 200, "good"), ("s", None, "none"), ("s", 200, "good")]
+    got = op.latest_responses(spark.createDataFrame(rows, "BU_REC_ID string, status int, body string"))
+    assert {r.BU_REC_ID: r.body for r in got.collect()} == {"r": "good", "s": "good"}

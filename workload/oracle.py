@@ -92,7 +92,7 @@ CTES = {
         SELECT DISTINCT s_suppkey % 90 + 1 AS h, s_suppkey % 60 + 501 AS z FROM supplier""",
     "members": """
         SELECT concat('C-', min(BU_REC_ID) OVER (PARTITION BY ORG_NAME, coalesce(ORG_ZIP_CODE, '')))
-            AS ORG_ID,
+            AS ORG_ID, BU_REC_ID AS MEMBER_ID,
           upper(CASE WHEN k % 3 = 0 THEN left(ORG_NAME, greatest(length(ORG_NAME) - 1, 0))
                ELSE ORG_NAME END) AS name,
           upper(ORG_ADDRESS_LINE_1) AS line1, coalesce(ORG_ZIP_CODE, '') AS zip5,
@@ -261,23 +261,20 @@ def _native_match(source: str, min_score: float = 0.0) -> str:
     return f"""
         SELECT s.BU_REC_ID, c.ORG_ID, round(c.confidence, 6) AS ORG_MATCH_CONFIDENCE
         FROM {source} s LEFT JOIN (
-          SELECT a.BU_REC_ID, p.ORG_ID,
-            avg(0.6 * ({_similarity('a.name', 'p.name')})
-              + 0.4 * ({_similarity('a.line1', 'p.line1')})) AS confidence
+          SELECT BU_REC_ID, ORG_ID,
+            avg(0.6 * ({_similarity('name', 'm_name')})
+              + 0.4 * ({_similarity('line1', 'm_line1')})) AS confidence
           FROM (
-            SELECT BU_REC_ID, STD_ORG_NAME AS name, upper(STD_ORG_ADDRESS_LINE_1) AS line1,
-              {own} AS block
-            FROM {source}) a
-          JOIN (
-            SELECT block, ORG_ID, name, line1, row_number() OVER (
-              PARTITION BY block, ORG_ID ORDER BY n DESC, name DESC, line1 DESC) AS place
+            SELECT DISTINCT a.BU_REC_ID, a.name, a.line1, m.ORG_ID, m.MEMBER_ID,
+              m.name AS m_name, m.line1 AS m_line1
             FROM (
-              SELECT block, ORG_ID, name, line1, count(*) AS n
-              FROM (
-                SELECT ORG_ID, name, line1,
-                  {_blocks('name', 'zip5', 'areacode', 'phone')} AS block FROM members)
-              WHERE block IS NOT NULL GROUP BY 1, 2, 3, 4)) p
-            ON a.block = p.block AND p.place = 1
+              SELECT BU_REC_ID, STD_ORG_NAME AS name, upper(STD_ORG_ADDRESS_LINE_1) AS line1,
+                {own} AS block
+              FROM {source}) a
+            JOIN (
+              SELECT ORG_ID, MEMBER_ID, name, line1,
+                {_blocks('name', 'zip5', 'areacode', 'phone')} AS block FROM members) m
+              ON a.block = m.block)
           GROUP BY 1, 2) c ON s.BU_REC_ID = c.BU_REC_ID AND c.confidence >= {min_score}"""
 
 

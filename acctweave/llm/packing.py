@@ -15,10 +15,12 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import struct
 from collections.abc import Iterator, Mapping
 from functools import cache
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -33,8 +35,12 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END = 1  # the id that closes a document
 LENGTH = 2_048  # ids of a sequence
 QUANTUM = 128  # ids that a source serves at a time
+SPACE = "Ġ"  # how the vocabulary writes a leading space
+TOGETHER = 128  # chunks encoded as one text
 NO_SOURCE = "\x00"  # the queue of documents without a source
 
+_WORD = re.compile(r" \S(?:[^ ]*\S)?")
+
 
 @cache
 def _tokenizer(path: str, end: int) -> ChunkCache:
@@ -43,9 +49,28 @@ def _tokenizer(path: str, end: int) -> ChunkCache:
 
     tokenizer = Tokenizer.from_file(path)
 
+    opens = np.zeros(tokenizer.get_vocab_size(), bool)  # ids of tokens that begin with a space
+    opens[[i for t, i in tokenizer.get_vocab().items() if t.startswith(SPACE)]] = True
+
+    def each(texts: list[str]) -> list[np.ndarray]:
+        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)  # without offsets
+        return [np.array(x.ids, "<u4") for x in found]
+
     def encode(chunks: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(chunks, add_special_tokens=False)  # without offsets
-        return [struct.pack(f"<{len(x)}I", *x.ids) for x in found]
+        # chunks with no space but the one in front are encoded as one text and told apart by it
+        joined = [k for k, c in enumerate(chunks) if _WORD.fullmatch(c)]
+        groups = [joined[k : k + TOGETHER] for k in range(0, len(joined), TOGETHER)]
+        out: list[bytes | None] = [None] * len(chunks)
+        for group, ids in zip(groups, each(["".join(chunks[k] for k in g) for g in groups]), strict=True):
+            starts = np.flatnonzero(opens[ids])
+            if len(starts) == len(group):  # always, with a vocabulary of single leading spaces
+                raw, places = ids.tobytes(), [*(starts * 4).tolist(), len(ids) * 4]
+                for k, a, b in zip(group, places[:-1], places[1:], strict=True):
+                    out[k] = raw[a:b]
+        rest = [k for k, ids in enumerate(out) if ids is None]
+        for k, ids in zip(rest, each([chunks[k] for k in rest]), strict=True):
+            out[k] = ids.tobytes()
+        return out
 
     return ChunkCache(encode)
 

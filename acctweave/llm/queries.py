@@ -10,6 +10,7 @@ from acctweave.llm import (
     language_id,
     near_dedup,
     packing,
+    quality_rules,
     substring_dedup,
     toxicity,
     vector_dedup,
@@ -26,9 +27,11 @@ QUERIES = {
     "op8_fingerprint": fingerprint.query,
     "op9_packing": packing.query,
     "op10_byte_bpe": byte_bpe.query,
+    "op13_quality_rules": quality_rules.query,
 }
 
 ORACLE = {
     "op4_substring_dedup": substring_dedup.SQL,
     "op5_chat_format": chat_format.SQL,
+    "op13_quality_rules": quality_rules.SQL,
 }

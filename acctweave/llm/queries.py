@@ -5,6 +5,7 @@ from __future__ import annotations
 from acctweave.llm import (
     byte_bpe,
     chat_format,
+    conversation_repair,
     fingerprint,
     html_text,
     language_id,
@@ -13,6 +14,7 @@ from acctweave.llm import (
     quality_rules,
     substring_dedup,
     toxicity,
+    vector_codes,
     vector_dedup,
 )
 
@@ -27,11 +29,15 @@ QUERIES = {
     "op8_fingerprint": fingerprint.query,
     "op9_packing": packing.query,
     "op10_byte_bpe": byte_bpe.query,
+    "op11_conversation_repair": conversation_repair.query,
+    "op12_vector_codes": vector_codes.query,
     "op13_quality_rules": quality_rules.query,
 }
 
 ORACLE = {
     "op4_substring_dedup": substring_dedup.SQL,
     "op5_chat_format": chat_format.SQL,
+    "op11_conversation_repair": conversation_repair.SQL,
+    "op12_vector_codes": vector_codes.SQL,
     "op13_quality_rules": quality_rules.SQL,
 }

@@ -8,6 +8,8 @@ from acctweave.operators.columns import (
     project_output,
 )
 from acctweave.operators.exchange import (
+    FEED,
+    answers_for,
     attach_cleansing,
     attach_matches,
     cleanse_requests,
@@ -21,13 +23,16 @@ from acctweave.operators.handoff import hand_off
 from acctweave.operators.hooks import enrich_partitions
 from acctweave.operators.layout import cap_rows, ordered_files, preview, sort_output, spread
 from acctweave.operators.native import block_keys, match_accounts, standardize_accounts
+from acctweave.operators.sieve import sieve, sift
 from acctweave.operators.sinks import write_out, write_table
 from acctweave.operators.skew import skew_join
 
 __all__ = [
+    "FEED",
     "add_audit",
     "add_record_id",
     "add_zip9",
+    "answers_for",
     "attach_cleansing",
     "attach_matches",
     "block_keys",
@@ -45,6 +50,8 @@ __all__ = [
     "preview",
     "project_output",
     "rejects",
+    "sieve",
+    "sift",
     "skew_join",
     "sort_output",
     "spread",

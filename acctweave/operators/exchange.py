@@ -6,12 +6,18 @@ have ``received_at``. Responses meet their records in an equi-join on the record
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acctweave import layouts
 from acctweave.functions import compact, first_word, match_outcome, parse_cleansing_body, text_of
 from acctweave.operators.columns import RECORD_ID
+from acctweave.operators.sieve import sift
+
+#: Name of the column that a response table may be partitioned by: the feed that was answered.
+FEED = "FEED"
 
 # ---- requests ----
 
@@ -97,6 +103,20 @@ def latest_responses(responses: DataFrame) -> DataFrame:
     )
 
 
+def answers_for(
+    records: DataFrame, responses: DataFrame, feeds: Sequence[str] | None = None
+) -> DataFrame:
+    """The responses that can concern ``records``: all of theirs, and few others.
+
+    ``feeds`` names the feeds that ``records`` come from; a response table partitioned by ``FEED`` is
+    then read in those partitions only. Within them a filter of bounded size, built from the record
+    ids, drops answers to other records at the scan, before any of them is shuffled.
+    """
+    if feeds is not None:
+        responses = responses.where(F.col(FEED).isin(*feeds))
+    return sift(responses, records.select(RECORD_ID), RECORD_ID)
+
+
 def flatten_cleansing(responses: DataFrame, process_type: str = "ACCOUNTS") -> DataFrame:
     """One row per usable cleansing answer: the record id and its ``STD_*`` columns.
 
@@ -122,14 +142,26 @@ def flatten_cleansing(responses: DataFrame, process_type: str = "ACCOUNTS") -> D
 
 
 def attach_cleansing(
-    records: DataFrame, responses: DataFrame, process_type: str = "ACCOUNTS"
+    records: DataFrame,
+    responses: DataFrame,
+    process_type: str = "ACCOUNTS",
+    feeds: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Every record with its ``STD_*`` columns; they are null where no usable answer came."""
-    flat = flatten_cleansing(latest_responses(responses), process_type)
+    """Every record with its ``STD_*`` columns; they are null where no usable answer came.
+
+    Only answers to these records, from ``feeds`` if named, are reduced (see ``answers_for``).
+    """
+    own = answers_for(records, responses, feeds)
+    flat = flatten_cleansing(latest_responses(own), process_type)
     return records.join(flat, RECORD_ID, "left")
 
 
-def attach_matches(records: DataFrame, responses: DataFrame, policy: str = "lenient") -> DataFrame:
+def attach_matches(
+    records: DataFrame,
+    responses: DataFrame,
+    policy: str = "lenient",
+    feeds: Sequence[str] | None = None,
+) -> DataFrame:
     """One row per record and matched cluster, with ``ORG_ID`` and ``ORG_MATCH_CONFIDENCE``.
 
     ======================================  ==============  =========
@@ -140,11 +172,14 @@ def attach_matches(records: DataFrame, responses: DataFrame, policy: str = "leni
     no answer (transport error)             one null row    dropped
     other status, or a malformed body       dropped         dropped
     ======================================  ==============  =========
+
+    Only answers to these records, from ``feeds`` if named, are reduced (see ``answers_for``).
     """
     if policy not in ("lenient", "strict"):
         raise ValueError(f"policy must be 'lenient' or 'strict', not {policy!r}")
     status, body = F.col("_status"), F.col("_body")
-    answers = latest_responses(responses).select(
+    own = answers_for(records, responses, feeds)
+    answers = latest_responses(own).select(
         RECORD_ID, F.col("status").alias("_status"), F.col("body").alias("_body")
     )
     if policy == "strict":
@@ -171,10 +206,12 @@ def rejects(
     stage: str,
     process_type: str = "ACCOUNTS",
     requests: DataFrame | None = None,
+    feeds: Sequence[str] | None = None,
 ) -> DataFrame:
     """Answers that could not be used: record id, stage ('cleanse' or 'match'), status, reason.
 
-    Given ``requests``, records without any answer are reported too.
+    Given ``requests``, only their answers are read (from ``feeds`` if named), and records without
+    any answer are reported too.
     """
     if stage == "match":
         usable = match_outcome(F.col("status"), F.col("body")).isNotNull()
@@ -187,6 +224,8 @@ def rejects(
         .when(F.col("status") != 200, "status")
         .when(~F.coalesce(usable, F.lit(False)), "malformed")
     )
+    if requests is not None:
+        responses = answers_for(requests, responses, feeds)
     latest = latest_responses(responses)
     if requests is not None:
         latest = requests.select(RECORD_ID).join(latest, RECORD_ID, "left")

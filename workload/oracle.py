@@ -459,6 +459,12 @@ BODIES = {
     "stream_feed": f"""
         SELECT m.*, cast(SRC_TP_CD = 'SUPPLIER' AS int) AS batch_id, true AS tagged
         FROM ({_matched('standardized_filled', _landed, 'lenient')}) m""",
+    # settled by the run that finds an answer of each kind: none in the first, then some, then all
+    "stream_late_feed": f"""
+        SELECT r.*, CASE WHEN n.BU_REC_ID IS NULL THEN 3 WHEN r.BU_REC_ID < '8' THEN 1 ELSE 2 END
+            AS batch_id, true AS tagged
+        FROM ({_matched('standardized_filled', _landed, 'lenient')}) r
+        LEFT JOIN newest n ON n.BU_REC_ID = r.BU_REC_ID""",
 }
 
 ORACLE = {name: _with(body) for name, body in BODIES.items()}

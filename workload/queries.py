@@ -470,3 +470,36 @@ def stream_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     tagged = F.col("SRC_INPUT_FILE_NAME").endswith(".csv").alias("tagged")
     return spark.table(name).select("*", tagged).drop("SRC_INPUT_FILE_NAME")
+
+
+@query
+def stream_late_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers land after their records: at first none, then some, then all; the rest is given up."""
+    landing, out, state = (shared_dir(spark, n) for n in ("landing", "late", "state"))
+    name = _table_name(out)
+    cleansing, matches = t.cleansing_responses(spark, sf_dir), t.match_responses(spark, sf_dir)
+    some = matches.where("BU_REC_ID < '8'")
+    for kind, arrived, close in (
+        ("customers", (cleansing.where("false"), matches.where("false")), False),
+        ("suppliers", (cleansing, some), False),
+        (None, (cleansing, matches), False),
+        (None, (cleansing, matches), True),
+    ):
+        if kind:
+            _land(spark, sf_dir, landing, kind)
+        streaming.stream_late_feed(
+            spark,
+            landing,
+            t.SPEC,
+            name,
+            state,
+            user=t.USER,
+            now=t.NOW,
+            header=True,
+            cleansing=arrived[0],
+            matches=arrived[1],
+            table_path=out,
+            close=close,
+        )
+    tagged = F.col("SRC_INPUT_FILE_NAME").endswith(".csv").alias("tagged")
+    return spark.table(name).select("*", tagged).drop("SRC_INPUT_FILE_NAME")

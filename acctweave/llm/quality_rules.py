@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from acctweave.llm import common
 from acctweave.operators.handoff import hand_off
 
-#: Rows that costs and selectivities are measured on at most, and the share of rows they come from.
-SAMPLE, SAMPLE_SHARE = 2_000, 0.05
+#: Rows, as expected, that costs and selectivities are measured on, and the partitions they fill.
+SAMPLE, SAMPLE_PARTITIONS = 2_000, 8
 #: Each rule is timed so often on the sample; the fastest run counts.
 RUNS = 2
 
@@ -181,13 +181,16 @@ def _split(docs: DataFrame, text: str, names: Sequence[str]) -> DataFrame:
 
 
 def measure(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> list[Measured]:
-    """Seconds and rejected share of every rule, each alone, on a bounded sample of ``docs``.
+    """Seconds and rejected share of every rule, each alone, on a sample of ``docs``.
 
-    A sample without rows rejects nothing, which leaves the rules in the order given.
+    Every row is drawn with the same chance, so that ``SAMPLE`` rows are expected whatever the size
+    of ``docs``. A sample without rows rejects nothing, which leaves the rules in the order given.
     """
     names = ("text", "words", "lines")
-    rows = docs.select(F.col(f"`{text}`").alias("text")).sample(SAMPLE_SHARE, seed=7).limit(SAMPLE)
-    rows = hand_off(_split(rows, "text", names), "quality-sample")
+    share = min(1.0, SAMPLE / max(docs.count(), 1))
+    drawn = docs.select(F.col(f"`{text}`").alias("text")).sample(share, seed=7)
+    rows = _split(drawn.repartition(SAMPLE_PARTITIONS), "text", names)
+    rows = hand_off(rows, "quality-sample")
 
     def timed(*measures: Column) -> tuple[float, tuple]:
         best = float("inf")

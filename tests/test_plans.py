@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from acctweave import operators as op
 from acctweave import plans
@@ -29,6 +30,10 @@ def shuffles(df):
     return plan(df).count("Exchange hashpartitioning")
 
 
+def shuffles_of_records(df):
+    return plan(df).count("Exchange hashpartitioning(BU_REC_ID")
+
+
 def columns_read(spark, df):
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     try:
@@ -52,9 +57,9 @@ def test_row_wise_steps_do_not_shuffle(spark):
 
 def test_each_side_of_an_exchange_is_shuffled_once(spark):
     stage, answers = t.stage(spark, SF_DIR), t.match_responses(spark, SF_DIR)
-    assert shuffles(plans.match_feed(stage, answers)) == 2
+    assert shuffles_of_records(plans.match_feed(stage, answers)) == 2
     cleansed = op.attach_cleansing(t.prepared(spark, SF_DIR), t.cleansing_responses(spark, SF_DIR))
-    assert shuffles(cleansed) == 2
+    assert shuffles_of_records(cleansed) == 2
 
 
 def test_standardize_and_match_in_one_plan_shuffle_the_records_once(spark):
@@ -62,7 +67,8 @@ def test_standardize_and_match_in_one_plan_shuffle_the_records_once(spark):
         t.prepared(spark, SF_DIR), t.SPEC, t.cleansing_responses(spark, SF_DIR)
     )
     matched = plans.match_feed(stage, t.match_responses(spark, SF_DIR))
-    assert shuffles(matched) == 3  # the records, and each kind of answer
+    assert shuffles_of_records(matched) == 3  # the records, and each kind of answer
+    assert shuffles(matched) == 5  # one filter of their ids serves both kinds
 
 
 def test_no_python_and_no_nested_loops_in_the_jobs(spark):
@@ -72,3 +78,40 @@ def test_no_python_and_no_nested_loops_in_the_jobs(spark):
     matched = plans.match_feed(stage, master=t.cluster_master(spark, SF_DIR))
     for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"):
         assert word not in plan(matched)
+
+
+def test_answers_are_sifted_before_they_are_reduced(spark):
+    """A filter of bounded size, from the record ids, lies below the aggregate of the answers."""
+    stage, prepared = t.stage(spark, SF_DIR), t.prepared(spark, SF_DIR)
+    answers, cleansed = t.match_responses(spark, SF_DIR), t.cleansing_responses(spark, SF_DIR)
+    requests = op.match_requests(op.fill_blank(op.add_zip9(stage)))
+    for df in (
+        op.attach_cleansing(prepared, cleansed),
+        op.attach_matches(op.add_zip9(stage), answers, "lenient"),
+        op.attach_matches(op.add_zip9(stage), answers, "strict"),
+        op.rejects(answers, "match", requests=requests),
+    ):
+        text = plan(df)
+        reduce, sift = text.index("functions=[max("), text.index("LeftSemi")
+        assert reduce < sift  # printed from the top: the semi-join lies below
+        assert "Exchange" not in text[sift : text.index("Scan parquet", sift)].split("BroadcastExchange")[0]
+
+
+def test_only_the_partitions_of_the_feed_are_read(spark, folder):
+    answers = t.match_responses(spark, SF_DIR).withColumn(
+        "FEED", F.concat(F.lit("feed-"), F.substring("BU_REC_ID", 1, 1))
+    )
+    answers.write.partitionBy("FEED").parquet(f"{folder}/answers")
+    stored, stage = spark.read.parquet(f"{folder}/answers"), op.add_zip9(t.stage(spark, SF_DIR))
+    df = op.attach_matches(stage, stored, "strict", feeds=["feed-a"])
+    assert re.search(r"PartitionFilters: \[[^]]*FEED[^]]*feed-a", plan(df))
+    want = op.attach_matches(stage, answers.where("FEED = 'feed-a'"), "strict")
+    assert sorted(df.collect(), key=repr) == sorted(want.collect(), key=repr)
+
+
+def test_a_composed_job_sifts_without_its_own_joins(spark):
+    """The ids come from the records alone; the cleansing join is not run again for them."""
+    stage = plans.standardize_feed(
+        t.prepared(spark, SF_DIR), t.SPEC, responses=t.cleansing_responses(spark, SF_DIR)
+    )
+    assert plan(plans.match_feed(stage, t.match_responses(spark, SF_DIR))).count("from_xml") <= 4

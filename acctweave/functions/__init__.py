@@ -8,6 +8,7 @@ from acctweave.functions.exchange import (
 from acctweave.functions.text import (
     compact,
     digits,
+    edits_up_to,
     first_word,
     similarity,
     standard_line,
@@ -18,6 +19,7 @@ from acctweave.functions.text import (
 __all__ = [
     "compact",
     "digits",
+    "edits_up_to",
     "first_word",
     "match_outcome",
     "parse_cleansing_body",

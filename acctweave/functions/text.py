@@ -64,3 +64,15 @@ def similarity(a: Column, b: Column) -> Column:
     """1 - edit distance / longer length; 0 when both are blank."""
     longer = F.greatest(F.length(a), F.length(b))
     return F.when(longer == 0, F.lit(0.0)).otherwise(1 - F.levenshtein(a, b) / longer)
+
+
+def edits_up_to(a: Column, b: Column, least: Column | float) -> Column:
+    """Edit distance of texts that may still have the ``similarity`` ``least``, else below 0.
+
+    The difference of the lengths is looked at first, and the distance is only taken as far as
+    ``least`` allows; a result -n says that there are n edits at least.
+    """
+    longer, gap = F.greatest(F.length(a), F.length(b)), F.abs(F.length(a) - F.length(b))
+    allowed = F.floor(longer * (1 - F.lit(least)) + 1e-9).cast("int")
+    near = F.call_function("levenshtein", a, b, allowed)
+    return F.when(gap > allowed, -gap).otherwise(F.when(near < 0, -(allowed + 1)).otherwise(near))

@@ -12,6 +12,7 @@ from acctweave import layouts
 from acctweave.functions import (
     compact,
     digits,
+    edits_up_to,
     first_word,
     similarity,
     standard_line,
@@ -45,7 +46,8 @@ def standardize_accounts(accounts: DataFrame, addresses: DataFrame) -> DataFrame
 
     ``addresses`` has the 26 address fields (``ADDR1`` ... ``RESIDENT_DLVRY_IND``). An account meets
     the address with the same standard line 1 and ZIP; without one its address fields are ''. Many
-    accounts may share one address, so the join splits hot addresses, and blank ones are spread.
+    accounts may share one address, so the join splits hot addresses; accounts without an address
+    are not shuffled for it.
     """
     fields = layouts.ADDRESS_FIELDS
     blanked = (f"coalesce(string({f}), '') AS {f}" for f in fields)
@@ -104,7 +106,8 @@ def match_accounts(
     A pair of account and member scores ``name_weight`` x name similarity plus ``line_weight`` x
     line 1 similarity, and the confidence is the average over all members of the cluster that share
     a key with the account, each counted once. Every cluster at or above ``min_score`` is returned;
-    an account without one gives a single null row.
+    an account without one gives a single null row. A high ``min_score`` saves most of the scoring
+    (see ``_scored_from``) and changes no result.
 
     ``accounts`` is read more than once: hand over a stored table (see ``hand_off``).
 
@@ -119,32 +122,83 @@ def match_accounts(
         "areacode": text_of(F.col("STD_ORG_AREACD")),
         "phone": text_of(F.col("STD_ORG_PHONE_NUMBER")),
     }
-    signature = F.md5(F.to_json(F.struct(*(c.alias(n) for n, c in columns.items()))))
+    told = F.struct(*(c.alias(n) for n, c in columns.items()))
+    signature = F.coalesce(F.md5(F.to_json(told)), F.lit(""))  # never null, and known not to be
     keyed = accounts.withColumn("_signature", signature)
     # both sides are read twice, for their hot keys and for the join
     account_keys = hand_off(_account_keys(keyed, columns), "account-keys")
     members = hand_off(_member_keys(master), "member-keys")
-    scored = (
-        skew_join(account_keys, members, "_block", left_spread=["_signature"])
-        .where(F.get(F.array_intersect("_keys", "p_keys"), F.lit(0)) == F.col("_block"))
-        .select(
-            "_signature",
-            "ORG_ID",
-            "n",
-            (
-                name_weight * similarity(F.col("name"), F.col("p_name"))
-                + line_weight * similarity(F.col("line1"), F.col("p_line1"))
-            ).alias("_score"),
-        )
-        .groupBy("_signature", "ORG_ID")
-        .agg((F.sum(F.col("n") * F.col("_score")) / F.sum("n")).alias("ORG_MATCH_CONFIDENCE"))
-        .where(F.col("ORG_MATCH_CONFIDENCE") >= min_score)
+    pairs = skew_join(account_keys, members, "_block", left_spread=["_signature"]).where(
+        F.get(F.array_intersect("_keys", "p_keys"), F.lit(0)) == F.col("_block")
     )
+    weights = {"name": name_weight, "line1": line_weight}
+    if min_score > min(weights.values()):
+        scored = _scored_from(pairs, account_keys, members, weights, min_score)
+    else:  # either text may differ entirely, so nothing can be left out
+        scored = _scored(pairs, weights)
+    scored = scored.where(F.col("ORG_MATCH_CONFIDENCE") >= min_score)
     return skew_join(keyed, scored, "_signature", "left", left_spread=["BU_REC_ID"]).select(
         *accounts.columns, "ORG_ID", "ORG_MATCH_CONFIDENCE"
     )
 
 
+def _scored(pairs: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """Average score of every signature and cluster over its pairs with spellings."""
+    score = sum(w * similarity(F.col(c), F.col(f"p_{c}")) for c, w in weights.items())
+    return (
+        pairs.select("_signature", "ORG_ID", "n", score.alias("_score"))
+        .groupBy("_signature", "ORG_ID")
+        .agg((F.sum(F.col("n") * F.col("_score")) / F.sum("n")).alias("ORG_MATCH_CONFIDENCE"))
+    )
+
+
+def _scored_from(
+    pairs: DataFrame,
+    account_keys: DataFrame,
+    members: DataFrame,
+    weights: dict[str, float],
+    min_score: float,
+) -> DataFrame:
+    """As ``_scored``, for clusters that reach ``min_score``; others may be missing.
+
+    A pair below ``min_score`` needs no exact score unless better pairs make up for it. So each text
+    is compared as far only as a pair of ``min_score`` allows (lengths first, then a bounded edit
+    distance), and gets an upper bound beyond. Clusters whose bounds average below ``min_score`` are
+    out. Most others have exact scores only; the few with a bound among them are scored in full.
+    """
+    total = sum(weights.values())
+    edits, scores, exact = [], F.lit(0.0), F.lit(True)
+    for c, weight in weights.items():
+        least = (min_score - (total - weight)) / weight if weight else 0.0
+        edits.append(edits_up_to(F.col(c), F.col(f"p_{c}"), max(least, 0.0)).alias(f"_{c}"))
+        longer = F.greatest(F.length(c), F.length(f"p_{c}"))
+        scores = scores + weight * F.when(longer == 0, F.lit(0.0)).otherwise(
+            1 - F.abs(f"_{c}") / longer
+        )
+        exact = exact & (F.col(f"_{c}") >= 0)
+    bounded = (
+        pairs.select("*", *edits)
+        .select("_signature", "ORG_ID", "n", scores.alias("_score"), exact.alias("_exact"))
+        .groupBy("_signature", "ORG_ID")
+        .agg(
+            (F.sum(F.col("n") * F.col("_score")) / F.sum("n")).alias("ORG_MATCH_CONFIDENCE"),
+            F.min("_exact").alias("_exact"),
+        )
+        .where(F.col("ORG_MATCH_CONFIDENCE") >= min_score - 1e-9)
+    )
+    reached = hand_off(bounded, "reached")  # exact ones go on, the others are scored
+
+    def once(df: DataFrame, keys: str) -> DataFrame:
+        """The first of the rows that a signature or spelling has, one for each of its keys."""
+        return df.where(F.col("_block") == F.get(keys, F.lit(0))).drop("_block")
+
+    doubtful = reached.where("NOT _exact").select("_signature", "ORG_ID")
+    accounts = once(account_keys, "_keys").join(doubtful, "_signature")
+    again = skew_join(accounts, once(members, "p_keys"), "ORG_ID", left_spread=["_signature"])
+    full = _scored(again.where(F.arrays_overlap("_keys", "p_keys")), weights)
+    return reached.where("_exact").drop("_exact").unionByName(full)
+
+
 def _account_keys(keyed: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """One row per distinct account signature and blocking key."""
     distinct = keyed.select("_signature", *(c.alias(n) for n, c in columns.items())).distinct()

@@ -3,9 +3,11 @@ from collections import defaultdict
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from acctweave import layouts
 from acctweave import operators as op
+from acctweave.functions import edits_up_to
 from acctweave.operators import native
 
 ACCOUNT = (
@@ -96,7 +98,7 @@ def matched(spark, accounts, master, **options):
     )
 
 
-@pytest.mark.parametrize(("seed", "min_score"), [(1, 0.0), (2, 0.7)])
+@pytest.mark.parametrize(("seed", "min_score"), [(1, 0.0), (2, 0.45), (2, 0.7), (5, 0.9), (6, 1.0)])
 def test_matching_equals_brute_force(spark, seed, min_score):
     accounts, master = random_feed(seed, 60, hot=0.3)
     assert matched(spark, accounts, master, min_score=min_score) == brute_force(
@@ -109,7 +111,7 @@ def test_matching_with_split_blocks_equals_brute_force(spark, monkeypatch):
     plain = native.skew_join
 
     def eager(*args, **options):
-        return plain(*args, **options, share=0.02, min_rows=3)
+        return plain(*args, **options, cell_pairs=20, cell_rows=15)
 
     monkeypatch.setattr(native, "skew_join", eager)
     expected = brute_force(accounts, master)
@@ -122,6 +124,36 @@ def test_matching_with_split_blocks_equals_brute_force(spark, monkeypatch):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_a_cluster_of_good_members_carries_a_poor_one(spark):
+    """The poor member alone is far below the score; the average over all is above it."""
+    accounts = [("r", "ACME NUT WORKS", "1 A ST", "07030", "201", "5550101")]
+    good = ("Acme Nut Works", "1 A St", "07030", "201", "5550101")
+    master = [("C", f"m{i}", *(v + " " * (i == 9) for v in good)) for i in range(10)]
+    master += [("C", "poor", "Acme", "999 Other Road", "07030", "201", "5550101")]
+    master += [("D", "poor", "Acme", "999 Other Road", "07030", "201", "5550101")]
+    found = matched(spark, accounts, master, min_score=0.9)
+    assert found == brute_force(accounts, master, 0.9) and [f[1] for f in found] == ["C"]
+
+
+def test_lengths_are_compared_first(spark):
+    pairs = spark.createDataFrame([("ab", "abcdefgh"), ("abcd", "abce")], "a string, b string")
+    found = pairs.select(edits_up_to(F.col("a"), F.col("b"), 0.75).alias("e")).collect()
+    assert [r.e for r in found] == [-6, 1]  # the first by its length alone
+
+
+@pytest.mark.parametrize("least", [0.0, 0.3, 0.8, 1.0])
+def test_bounded_edits_are_exact_or_bounds(spark, least):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abc") for _ in range(rng.randrange(9))) for _ in range(120)]
+    pairs = list(zip(texts, texts[1:], strict=False))
+    df = spark.createDataFrame(pairs, "a string, b string")
+    found = df.select("a", "b", edits_up_to(F.col("a"), F.col("b"), least).alias("e")).collect()
+    for r in found:
+        true = distance(r.a, r.b)
+        reaches = true <= max(len(r.a), len(r.b)) * (1 - least) + 1e-9
+        assert (r.e == true) if reaches else (r.e < 0 and -r.e <= true)
+
+
 def test_copies_are_compared_once_and_all_come_back(spark):
     account = ("Acme", "1 A ST", "07030", "201", "2015550101")
     accounts = [(f"r{i}", *account) for i in range(50)]
@@ -186,3 +218,21 @@ def test_native_standardization(spark):
         key=repr,
     )
     assert len(out.columns) == 4 + 29
+
+
+def test_the_bound_stands_in_the_plan(spark, monkeypatch):
+    """With a minimum score, the pairs of the join meet the bounded edit distance and no other."""
+    accounts, master = random_feed(8, 30, hot=0.3)
+    plans = []
+    plain = native.hand_off
+
+    def noted(df, name):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return plain(df, name)
+
+    monkeypatch.setattr(native, "hand_off", noted)
+    matched(spark, accounts, master, min_score=0.9)
+    (reached,) = [text for name, text in plans if name == "reached"]
+    assert "levenshtein(name" in reached and "abs((length(name" in reached
+    bounded = reached.split("levenshtein(")[1:]
+    assert all("FLOOR" in x.split("AS ")[0] for x in bounded)

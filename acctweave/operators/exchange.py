@@ -122,21 +122,21 @@ def flatten_cleansing(responses: DataFrame, process_type: str = "ACCOUNTS") -> D
 
     Missing or empty values are '', but an empty organisation name stays null.
     """
-    profile = parse_cleansing_body(F.col("body"), process_type)
-    parsed = responses.where("status = 200").select(RECORD_ID, F.explode(profile).alias("p"))
+    parts = parse_cleansing_body(F.col("body"), process_type)
+    parsed = responses.where("status = 200").select(RECORD_ID, F.explode(parts).alias("p"))
 
     if process_type == "ACCOUNTS":
-        prefix, name = "STD_ORG_", ["nullif(p.OrgNm, '') AS STD_ORG_NAME"]
-        columns = {f: f"p.Address.{e}" for f, e in layouts.ADDRESS_ELEMENTS.items()}
+        prefix, name = "STD_ORG_", ["nullif(p.profile.OrgNm, '') AS STD_ORG_NAME"]
+        columns = {f: f"p.address.{e}" for f, e in layouts.ADDRESS_ELEMENTS.items()}
     else:
         prefix, name = "STD_PER_", []
-        columns = {field: f"p.{e}" for field, e in layouts.PERSON_ELEMENTS.items()}
+        columns = {field: f"p.profile.{e}" for field, e in layouts.PERSON_ELEMENTS.items()}
         for field, element in layouts.ADDRESS_ELEMENTS.items():
-            columns[field] = f"p.Address.{element}._VALUE"
-            columns[f"{field}_FAULT_CD"] = f"p.Address.{element}._FaultCode"
-            columns[f"{field}_FAULT_DESC"] = f"p.Address.{element}._FaultDesc"
-    columns |= {f: f"p.Address._{a}" for f, a in layouts.ADDRESS_ATTRIBUTES.items()}
-    columns |= {"PHONE": "p.Phone._VALUE", "AREACD": "p.Phone._PhAreaCd"}
+            columns[field] = f"p.address.{element}._VALUE"
+            columns[f"{field}_FAULT_CD"] = f"p.address.{element}._FaultCode"
+            columns[f"{field}_FAULT_DESC"] = f"p.address.{element}._FaultDesc"
+    columns |= {f: f"p.address._{a}" for f, a in layouts.ADDRESS_ATTRIBUTES.items()}
+    columns |= {"PHONE": "p.profile.Phone._VALUE", "AREACD": "p.profile.Phone._PhAreaCd"}
     texts = (f"coalesce({path}, '') AS {prefix}{field}" for field, path in columns.items())
     return parsed.selectExpr(RECORD_ID, *name, *texts)
 

@@ -1,9 +1,15 @@
 """Landing-folder streams."""
 
-from acctweave.streaming.landing import ingest_landing, landing_stream, stream_feed
+from acctweave.streaming.landing import (
+    ingest_checked,
+    ingest_landing,
+    landing_stream,
+    stream_feed,
+)
 from acctweave.streaming.late import open_records, run_log, stream_late_feed
 
 __all__ = [
+    "ingest_checked",
     "ingest_landing",
     "landing_stream",
     "open_records",

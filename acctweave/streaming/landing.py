@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from acctweave import operators as op
 from acctweave.plans.jobs import match_feed, prepare_feed, standardize_feed
+from acctweave.sources import check_lines
+from acctweave.sources.checked import FILE, LINE_SCHEMA, RAW, REASON, LINE, line_options
 from acctweave.sources.delimited import feed_options
 from acctweave.specs import FeedSpec
 
-LANDED_FILE = "LANDED_FILE"
+LANDED_FILE = FILE
 
 
 def landing_stream(
@@ -57,6 +59,58 @@ def ingest_landing(
     query.awaitTermination()
 
 
+def ingest_checked(
+    spark: SparkSession,
+    landing: str,
+    spec: FeedSpec,
+    out: str,
+    rejects: str,
+    manifest: str,
+    checkpoint: str,
+    header: bool | None = None,
+    max_bytes: str | None = None,
+) -> None:
+    """``ingest_landing`` that no file can stop: what is no record of the spec goes to ``rejects``.
+
+    Every file that arrived is checked by itself (see ``check_lines``); one with a wrong header is
+    rejected whole, and the others go on. ``manifest`` gets a row per file: its rows, its rejects and
+    its status, 'ingested', 'partly' or 'quarantined'. All three hold a folder for each batch, which
+    a batch that is repeated after a failure replaces, the manifest last.
+    """
+    reader = spark.readStream.schema(LINE_SCHEMA).options(**line_options(spec))
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    lines = reader.csv(landing).select(
+        F.coalesce(RAW, "line").alias(LINE), F.col("_metadata.file_name").alias(FILE)
+    )
+
+    def one_batch(rows: DataFrame, batch_id: int) -> None:
+        checked = op.hand_off(check_lines(rows, spec, header), "checked")
+        refused = F.col(REASON).isNotNull()
+        sound = checked.where(~refused).drop(REASON, LINE)
+        op.write_out(sound, f"{out}/batch_id={batch_id}", "PARQUET")
+        bad = checked.where(refused).select(FILE, REASON, LINE)
+        op.write_out(bad, f"{rejects}/batch_id={batch_id}", "PARQUET")
+        files = checked.groupBy(FILE).agg(
+            F.count_if(~refused).alias("n_rows"), F.count_if(refused).alias("n_rejects")
+        )
+        status = (
+            F.when(F.col("n_rejects") == 0, "ingested")
+            .when(F.col("n_rows") == 0, "quarantined")
+            .otherwise("partly")
+        )
+        listed = files.withColumn("status", status)
+        op.write_out(listed, f"{manifest}/batch_id={batch_id}", "PARQUET")
+
+    query = (
+        lines.writeStream.foreachBatch(one_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def stream_feed(
     spark: SparkSession,
     landing: str,

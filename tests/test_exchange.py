@@ -203,7 +203,36 @@ def test_contact_answer(spark):
     assert {k: got[f"STD_PER_{k}"] for k in expected} == expected
 
 
-UNUSABLE = ["gateway page", "", None, document()[:-9], document() + "x", "<a><b/></a>"]
+LOOKALIKE = "<!-- </a:Profile> --><a:Raw><![CDATA[<d:Address></a:Profile>]]></a:Raw><?x <a:Profile>?>"
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        lambda d: d.replace("<d:Address ", "<w:W xmlns:w='u'><w:V><d:Address ").replace("</d:Address>", "</d:Address></w:V></w:W>"),
+        lambda d: d.replace("<a:OrgNm>", f"{LOOKALIKE}<a:OrgNm>"),
+        lambda d: d.replace("<e:Body>", f"<e:Body>{LOOKALIKE.replace('<?x <a:Profile>?>', '')}"),
+        lambda d: '<?xml version="1.0" encoding="UTF-8"?>\n' + d + "<!-- end -->",
+        lambda d: d.replace("<d:AddrCity", "<!-- <d:AddrCity>Y</d:AddrCity> --><d:AddrCity"),
+        lambda d: d.replace(">ACME<", "><![CDATA[AC]]>ME<"),
+    ],
+)
+def test_an_answer_is_found_at_any_depth_and_between_lookalikes(spark, change):
+    assert cleansed(spark, change(document())) == cleansed(spark, document())
+
+
+def test_a_profile_without_an_address(spark):
+    got = cleansed(spark, document().replace(ADDRESS, ""))
+    assert got["STD_ORG_NAME"] == "ACME" and got["STD_ORG_CITY"] == "" and got["STD_ORG_PHONE"]
+
+
+def test_text_with_markup_in_a_section_stays_text(spark):
+    got = cleansed(spark, document("<a:OrgNm><![CDATA[A & <B> ]] C]]></a:OrgNm>"))
+    assert got["STD_ORG_NAME"] == "A & <B> ]] C"
+
+
+UNUSABLE = ["gateway page", "", None, document()[:-9], document() + "x", "<a><b/></a>",
+    "<!DOCTYPE html>" + document(), "<a><![CDATA[" + document() + "]]></a>"]
 
 
 @pytest.mark.parametrize("body", UNUSABLE)
@@ -238,8 +267,8 @@ def test_each_body_is_parsed_once(spark):
     for parser, frames in plans.items():
         for frame in frames:
             plan = frame._jdf.queryExecution().optimizedPlan().toString()
-            # once for the content, once more for the well-formedness of what surrounds it
-            assert plan.count(parser) == 2
+            # the content (profile and address of their own), and the soundness of what is around it
+            assert plan.count(parser) == (2 if parser == "from_json(" else 3)
 
 
 def test_text_after_a_closing_bracket_makes_a_line_malformed(spark):

@@ -53,6 +53,14 @@ CTES = {
           CASE WHEN o % 20 = 0 THEN 500 WHEN o % 20 <> 1 THEN 200 END AS status,
           CASE WHEN o % 20 NOT IN (0, 1) AND o % 37 <> 0 THEN o % 4 END AS n_clusters, o
         FROM newest""",
+    "damaged_lines": """
+        SELECT SRC_TP_CD AS kind, true AS sound FROM accounts WHERE SRC_TP_CD = 'SUPPLIER'
+        UNION ALL
+        SELECT 'header', false FROM accounts WHERE SRC_TP_CD = 'SUPPLIER'
+        UNION ALL
+        SELECT unnest(CASE k % 10 WHEN 0 THEN ['short'] WHEN 1 THEN ['surplus'] WHEN 2 THEN ['quotes']
+          WHEN 3 THEN ['quotes', 'quotes'] ELSE [SRC_TP_CD] END), k % 10 > 3
+        FROM accounts WHERE SRC_TP_CD <> 'SUPPLIER'""",
     "steps": "SELECT unnest([0, 1, 2]) AS i",
     "cleansed": """
         SELECT n.BU_REC_ID,
@@ -337,6 +345,8 @@ _kept = "s.BU_REC_ID, s.SRC_ID, s.STD_ORG_ZIP9"
 _all = ", ".join(f"s.{c}" for c in [*OUTPUT, "STD_ORG_ZIP9"])
 _landed = ", ".join(f"s.{c}" for c in [*OUTPUT, "STD_ORG_ZIP9"] if c != "SRC_INPUT_FILE_NAME")
 
+_whole = " || ',' || ".join(f"coalesce({c}, '')" for c in INPUT)
+
 BODIES = {
     "audit_columns": f"SELECT SRC_ID, SRC_TP_CD, {_audit} FROM accounts",
     "ordered_rename": "SELECT * FROM stage",
@@ -440,6 +450,26 @@ BODIES = {
             else f"nullif({c}, '') AS {c}" for c in INPUT)} FROM accounts""",
     "scan_feed": f"""
         SELECT {', '.join(f"nullif({c}, '') AS {c}" for c in INPUT)} FROM accounts""",
+    "rejects_scan": f"""
+        SELECT * FROM (
+          SELECT CASE WHEN SRC_TP_CD = 'SUPPLIER' THEN 'header' WHEN k % 10 IN (0, 3) THEN 'x'
+              WHEN k % 10 = 1 THEN 'surplus' WHEN k % 10 = 2 THEN 'quotes' ELSE 'row' END AS kind,
+            CASE WHEN SRC_TP_CD = 'SUPPLIER' THEN {_whole}
+              WHEN k % 10 = 1 THEN {_whole} || ',more' WHEN k % 10 = 2 THEN {_whole} || '"open'
+              ELSE concat_ws(',', SRC_ID, nullif(ORG_NAME, ''), ORG_WEBSITE) END AS line
+          FROM accounts) WHERE kind <> 'x'
+        UNION ALL
+        SELECT 'short', SRC_ID || ',' || SRC_TP_CD FROM accounts
+          WHERE SRC_TP_CD <> 'SUPPLIER' AND k % 10 = 0
+        UNION ALL
+        SELECT 'quotes', '"' || SRC_ID FROM accounts WHERE SRC_TP_CD <> 'SUPPLIER' AND k % 10 = 3
+        UNION ALL
+        SELECT 'quotes', '",' || SRC_TP_CD FROM accounts
+          WHERE SRC_TP_CD <> 'SUPPLIER' AND k % 10 = 3""",
+    "landing_quarantine": """
+        SELECT kind, count(*) AS n FROM damaged_lines GROUP BY kind
+        UNION ALL SELECT 'listed rows', count(*) FROM damaged_lines WHERE sound
+        UNION ALL SELECT 'listed rejects', count(*) FROM damaged_lines WHERE NOT sound""",
     "stage_handoff": "SELECT * FROM stage",
     "partition_hook": """
         SELECT BU_REC_ID, length(STD_ORG_NAME) AS NAME_LENGTH

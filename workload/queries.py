@@ -352,6 +352,81 @@ def scan_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.scan_feed(spark, path, t.SPEC, header=True)
 
 
+def _write_lines(df: DataFrame, line: Column, header: list[str], path: str) -> None:
+    """``line`` of every row as it is, in files that start with ``header``."""
+    named = df.select(F.explode(F.split(line, "\n")).alias(",".join(header)))
+    options = {"sep": "\x01", "quote": "", "header": "true"}
+    named.write.options(**options).mode("append").csv(path)
+
+
+def _land_damaged(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Customers with a line that is short, surplus or left open now and then; suppliers misnamed."""
+    names = t.SPEC.schema.names
+    whole = F.concat_ws(",", *(F.coalesce(c, F.lit("")) for c in names))
+    k, supplier = F.col("SRC_ID").cast("bigint"), F.col("SRC_TP_CD") == "SUPPLIER"
+    damaged = (
+        F.when(k % 10 == 0, F.concat_ws(",", "SRC_ID", "SRC_TP_CD"))
+        .when(k % 10 == 1, F.concat(whole, F.lit(",more")))
+        .when(k % 10 == 2, F.concat(whole, F.lit('"open')))
+        .when(k % 10 == 3, F.concat(F.lit('"'), "SRC_ID", F.lit('\n",'), "SRC_TP_CD"))
+        .otherwise(whole)
+    )
+    rows = t.accounts(spark, sf_dir)
+    _write_lines(rows.where(~supplier), damaged, names, path)
+    _write_lines(rows.where(supplier), whole, names[::-1], path)
+
+
+@query
+def rejects_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of damaged files, as a row or as a reject."""
+    path = shared_dir(spark, "feed")
+    _land_damaged(spark, sf_dir, path)
+    checked = sources.scan_checked(spark, path, t.SPEC, header=True)
+    rows = sources.sound_rows(checked).select(
+        F.lit("row").alias("kind"), F.concat_ws(",", "SRC_ID", "ORG_NAME", "ORG_WEBSITE").alias("line")
+    )
+    refused = sources.scan_rejects(checked)
+    return rows.unionByName(
+        # each misnamed file, as many as its writer made, has its header among the rejects
+        refused.where(F.col("REJECT_LINE") != ",".join(t.SPEC.schema.names[::-1])).select(F.col("REJECT_REASON").alias("kind"), F.col("REJECT_LINE").alias("line"))
+    )
+
+
+@query
+def landing_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream over damaged files and a misnamed one: rows, rejects and the files' manifest."""
+    landing, out, bad, files, offsets = (
+        shared_dir(spark, n) for n in ("landing", "ingested", "refused", "manifest", "offsets")
+    )
+    _land(spark, sf_dir, landing, "suppliers")
+    for damaged in (True, False):  # the last run finds nothing new
+        if damaged:
+            _land_damaged(spark, sf_dir, landing)
+        streaming.ingest_checked(spark, landing, t.SPEC, out, bad, files, offsets, header=True)
+    rows = spark.read.parquet(out)
+    refused = spark.read.parquet(bad).where(
+        F.col("REJECT_LINE") != ",".join(t.SPEC.schema.names[::-1])
+    )
+    listed = spark.read.parquet(files)
+    headers = F.count_if(F.col("status") == "quarantined")  # rejects, too; as many as files
+    totals = listed.agg(
+        F.sum("n_rows").alias("a"), (F.sum("n_rejects") - headers).alias("b")
+    ).select(
+        F.inline(
+            F.array(
+                F.struct(F.lit("listed rows").alias("kind"), F.col("a").alias("n")),
+                F.struct(F.lit("listed rejects").alias("kind"), F.col("b").alias("n")),
+            )
+        )
+    )
+    return (
+        rows.groupBy(F.col("SRC_TP_CD").alias("kind"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .unionAll(refused.groupBy("REJECT_REASON").agg(F.count(F.lit(1))))
+        .unionAll(totals)
+    )
+
+
 @query
 def stage_handoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "handoff")

@@ -214,6 +214,9 @@ def _document(process_type: str) -> str:
         for f, name in layouts.ADDRESS_ELEMENTS.items()
     }
     elements["NOTES"] = f"if(o % 13 = 0, '', {elements['NOTES']})"  # left out now and then
+    county = f"d:{layouts.ADDRESS_ELEMENTS['COUNTY']}"
+    elements["COUNTY"] = f"""if(o % 23 = 0,
+        concat('<{county}><![CDATA[', {CLEANSED['COUNTY']}, ']]></{county}>'), {elements['COUNTY']})"""
     attributes = [
         f"""' {name}="', {CLEANSED[f]}, '"'""" for f, name in layouts.ADDRESS_ATTRIBUTES.items()
     ]
@@ -226,12 +229,16 @@ def _document(process_type: str) -> str:
     parts = [
         """'<e:Envelope xmlns:e="urn:envelope" xmlns:a="urn:profile"><e:Body><a:Answer>'""",
         """'<a:Profile Id="', BU_REC_ID, '">'""",
+        # text that looks like the markup around it
+        """if(o % 19 = 0, '<!-- </a:Profile> --><a:Raw><![CDATA[<d:Address></a:Profile>]]></a:Raw>', '')""",
         *names,
+        """if(o % 7 = 0, '<w:Found xmlns:w="urn:found"><w:Best>', '')""",  # deeper now and then
         """'<d:Address xmlns:d="urn:address"'""",
         *attributes,
         "'>'",
         *elements.values(),
         "'</d:Address>'",
+        "if(o % 7 = 0, '</w:Best></w:Found>', '')",
         _element(
             "p:Phone", ACCOUNT["ORG_PHONE_NUMBER"], """' xmlns:p="urn:phone" PhAreaCd="201"'"""
         ),

@@ -23,11 +23,12 @@ from acctweave.operators.handoff import hand_off
 from acctweave.operators.hooks import enrich_partitions
 from acctweave.operators.layout import cap_rows, ordered_files, preview, sort_output, spread
 from acctweave.operators.native import block_keys, match_accounts, standardize_accounts
-from acctweave.operators.sieve import sieve, sift
-from acctweave.operators.sinks import write_out, write_table
+from acctweave.operators.sieve import divide, sieve, sift
+from acctweave.operators.sinks import DYNAMIC, write_out, write_table
 from acctweave.operators.skew import skew_join
 
 __all__ = [
+    "DYNAMIC",
     "FEED",
     "add_audit",
     "add_record_id",
@@ -38,6 +39,7 @@ __all__ = [
     "block_keys",
     "cap_rows",
     "cleanse_requests",
+    "divide",
     "enrich_partitions",
     "fill_blank",
     "flatten_cleansing",

@@ -1,14 +1,14 @@
-"""Audit columns, record ids, blanks, ZIP+4 and the output projection (all narrow)."""
+"""Audit columns, record ids, blanks, ZIP+4 and the output projection (narrow but for numbered ids)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from acctweave.functions import text_of
+from acctweave.operators.sieve import divide
 from acctweave.specs import AuditSpec, FeedSpec
 
 RECORD_ID = "BU_REC_ID"
@@ -48,14 +48,77 @@ def add_record_id(
 
     ``uuid`` draws random ids: write the result before using the ids twice, as a recomputed plan
     draws others. ``hash`` derives the id from ``keys``, which must be unique within the feed; it
-    survives reruns and lost executors unchanged.
+    survives reruns and lost executors unchanged. ``numbered`` is ``hash`` for feeds in which keys
+    repeat: the first row of a key has its plain id, the others ids of their own (see
+    ``_numbered``); hand over a stored table.
     """
     if mode == "uuid":
         return df.withColumn(RECORD_ID, F.uuid())
     if mode == "hash":
-        key = F.concat_ws("|", *(text_of(F.col(k)) for k in keys))
-        return df.withColumn(RECORD_ID, F.md5(key))
-    raise ValueError(f"id mode must be 'uuid' or 'hash', not {mode!r}")
+        return df.withColumn(RECORD_ID, F.md5(_encoded(keys)))
+    if mode == "numbered":
+        return _numbered(df, keys)
+    raise ValueError(f"id mode must be 'uuid', 'hash' or 'numbered', not {mode!r}")
+
+
+def _encoded(keys: Sequence[str]) -> Column:
+    """``keys`` as one text: every value behind its length, and a mark of its own for null.
+
+    Two rows have the same text only if all their keys are equal; null and '' differ.
+    """
+
+    def told(value: Column) -> Column:
+        return F.when(value.isNull(), F.lit("-")).otherwise(
+            F.concat(F.length(value).cast("string"), F.lit(":"), value)
+        )
+
+    return F.concat(*(told(F.col(k).cast("string")) for k in keys))
+
+
+BUCKETS = 256  # stretches of content hashes that the rows of one key are counted in
+
+
+def _numbered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with ids that are unique in it and the same in every run over the same rows.
+
+    Rows of one key are numbered from 0 in the order of their contents. Copies are counted before
+    they are shuffled, and the numbers come in two levels, the rows before a bucket of content hashes
+    and those before a row in it, so that no task gets all rows of a key. A bounded filter over the
+    repeated keys lets the rows of all other keys, mostly all of the feed, pass unshuffled.
+    """
+    place, bucket, copies, before = (f"_{n}" for n in ("place", "bucket", "copies", "before"))
+    columns = df.columns
+    plain = df.withColumn(RECORD_ID, F.md5(_encoded(keys)))
+    repeated = plain.groupBy(RECORD_ID).agg(F.count(F.lit(1)).alias(copies)).where(f"{copies} > 1")
+    unique, shared = divide(plain, repeated, RECORD_ID)
+
+    distinct = (
+        shared.groupBy(*columns, RECORD_ID)
+        .agg(F.count(F.lit(1)).alias(copies))
+        .withColumn(place, F.xxhash64(*columns))
+        .withColumn(bucket, F.shiftright(place, 64 - (BUCKETS.bit_length() - 1)))
+    )
+    whole = (
+        distinct.groupBy(RECORD_ID, bucket)
+        .agg(F.sum(copies).alias("_n"))
+        .withColumn(before, _sum_before("_n", Window.partitionBy(RECORD_ID).orderBy(bucket)))
+        .drop("_n")
+    )
+    inside = Window.partitionBy(RECORD_ID, bucket).orderBy(place, *columns)
+    numbered = (
+        distinct.withColumn("_inside", _sum_before(copies, inside))
+        .join(whole, [RECORD_ID, bucket])
+        .withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(copies) - 1)))
+        .withColumn("_number", F.col(before) + F.col("_inside") + F.col("_copy"))
+    )
+    later = F.md5(F.concat(F.col(RECORD_ID), F.lit("#"), F.col("_number").cast("string")))
+    ids = F.when(F.col("_number") == 0, F.col(RECORD_ID)).otherwise(later)
+    return unique.unionByName(numbered.select(*columns, ids.alias(RECORD_ID)))
+
+
+def _sum_before(column: str, window: WindowSpec) -> Column:
+    rows = window.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(column).over(rows), F.lit(0))
 
 
 def fill_blank(df: DataFrame) -> DataFrame:

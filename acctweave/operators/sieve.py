@@ -39,3 +39,11 @@ def sift(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     found = F.broadcast(sieve(keys, key))
     meets = (word == found["word"]) & (found["bits"].bitwiseAND(bit) != 0)
     return rows.join(found, meets, "left_semi")
+
+
+def divide(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose ``key`` is certainly not in ``keys``, and all others."""
+    word, bit = _place(F.col(key))
+    found = F.broadcast(sieve(keys, key))
+    meets = (word == found["word"]) & (found["bits"].bitwiseAND(bit) != 0)
+    return rows.join(found, meets, "left_anti"), rows.join(found, meets, "left_semi")

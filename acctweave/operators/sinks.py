@@ -30,15 +30,21 @@ def write_out(df: DataFrame, path: str, file_type: str = "CSV", mode: str = "ove
         raise
 
 
-def _replace_partitions(df: DataFrame, name: str) -> None:
-    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-    before = conf.get(key)
-    conf.set(key, "dynamic")
-    try:
-        columns = df.sparkSession.table(name).columns
-        df.select(*columns).write.insertInto(name, overwrite=True)
-    finally:
-        conf.set(key, before)
+#: Kept with a table: an overwrite replaces the partitions it brings and leaves the others.
+DYNAMIC = {"partitionOverwriteMode": "dynamic"}
+
+
+def _replace_partitions(df: DataFrame, name: str, path: str | None, partition_by: str) -> None:
+    """Write ``df`` over its own partitions of a table, which is created empty where it is missing.
+
+    The first write is an overwrite, too, so that one that is repeated after a failure doubles
+    nothing. The mode is an option of the table; the session's settings stay as they are.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        empty = df.limit(0).write.options(**DYNAMIC).partitionBy(partition_by).mode("ignore")
+        (empty if path is None else empty.option("path", path)).saveAsTable(name)
+    df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
 
 
 def write_table(
@@ -53,7 +59,8 @@ def write_table(
     """Write ``df`` to a table; file paths written elsewhere are never touched.
 
     ``mode`` is 'append', 'overwrite', or 'overwrite_partitions', which replaces only the values of
-    ``partition_by`` found in ``df`` and so can be repeated safely. ``buckets`` (count, column)
+    ``partition_by`` found in ``df`` and so can be repeated safely, the first write of a table, which
+    must have been created by this mode, included. ``buckets`` (count, column)
     keeps the table hashed on a column so that later joins on it need no shuffle. With ``jdbc``
     (``url`` and driver properties) every partition writes to the database itself.
     """
@@ -67,10 +74,8 @@ def write_table(
     if mode == "overwrite_partitions":
         if partition_by is None:
             raise ValueError("overwrite_partitions needs partition_by")
-        if df.sparkSession.catalog.tableExists(name):
-            _replace_partitions(df, name)
-            return
-        mode = "append"
+        _replace_partitions(df, name, path, partition_by)
+        return
     writer = df.write.mode(mode)
     if path is not None:
         writer = writer.option("path", path)

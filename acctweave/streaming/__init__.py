@@ -1,6 +1,7 @@
 """Landing-folder streams."""
 
 from acctweave.streaming.landing import (
+    committed_rows,
     ingest_checked,
     ingest_landing,
     landing_stream,
@@ -9,6 +10,7 @@ from acctweave.streaming.landing import (
 from acctweave.streaming.late import open_records, run_log, stream_late_feed
 
 __all__ = [
+    "committed_rows",
     "ingest_checked",
     "ingest_landing",
     "landing_stream",

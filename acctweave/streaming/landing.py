@@ -17,6 +17,17 @@ from acctweave.specs import FeedSpec
 LANDED_FILE = FILE
 
 
+#: Output column that holds the name of a record's file.
+FILE_COLUMN = "SRC_INPUT_FILE_NAME"
+
+
+def committed_rows(spark: SparkSession, table: str, manifest: str) -> DataFrame:
+    """Rows of ``table`` whose file is listed: none of a file that a stream has half written."""
+    schema = f"n_rows bigint, batch_id int, {FILE_COLUMN} string"
+    listed = spark.read.schema(schema).parquet(manifest).select(FILE_COLUMN)
+    return spark.table(table).join(listed, FILE_COLUMN, "left_semi")
+
+
 def landing_stream(
     spark: SparkSession,
     landing: str,
@@ -127,12 +138,18 @@ def stream_feed(
     master: DataFrame | None = None,
     policy: str = "lenient",
     table_path: str | None = None,
+    manifest: str | None = None,
 ) -> None:
     """Standardize and match all files that arrived since the last run, into ``table``, then stop.
 
     Each micro-batch is the batch job on the newly landed rows, joined with the response or
     reference tables as they then stand. It replaces the partition ``batch_id`` of its own number,
     so a batch repeated after a failure leaves the table as one run would.
+
+    With ``manifest``, the table is partitioned by the landed file (``FILE_COLUMN``) in place of the
+    batch, and a batch replaces the partitions of its files: also a stream that has lost its
+    checkpoint, and reads all files anew, leaves the table as one run would. ``manifest`` gets a row
+    for each file after its rows are written; ``committed_rows`` reads the rows of listed files.
     """
 
     def one_batch(rows: DataFrame, batch_id: int) -> None:
@@ -143,13 +160,23 @@ def stream_feed(
         if master is not None:
             stage = op.hand_off(stage)
         matched = match_feed(stage, matches, master, policy)
+        if manifest is None:
+            matched = matched.withColumn("batch_id", F.lit(batch_id))
+        else:
+            matched = op.hand_off(matched, "matched")  # written to the table and counted
         op.write_table(
-            matched.withColumn("batch_id", F.lit(batch_id)),
+            matched,
             table,
             mode="overwrite_partitions",
             path=table_path,
-            partition_by="batch_id",
+            partition_by="batch_id" if manifest is None else FILE_COLUMN,
         )
+        if manifest is not None:
+            listed = matched.groupBy(FILE_COLUMN).agg(
+                F.count(F.lit(1)).alias("n_rows"), F.lit(batch_id).alias("batch_id")
+            )
+            writer = listed.write.options(**op.DYNAMIC).partitionBy(FILE_COLUMN)
+            writer.mode("overwrite").parquet(manifest)
 
     query = (
         landing_stream(spark, landing, spec, header, max_bytes)

@@ -39,6 +39,36 @@ def test_hash_ids_repeat_across_runs_and_tell_null_fields_apart(spark):
         op.add_record_id(df, "serial")
 
 
+def test_hash_ids_of_different_keys_differ(spark):
+    values = ["", None, "a", "a|b", "b", "|", "1:a", "-", "a1:b"]
+    pairs = [(x, y) for x in values for y in values]
+    df = spark.createDataFrame(pairs, "SRC_TP_CD string, SRC_ID string")
+    assert len({r.BU_REC_ID for r in op.add_record_id(df, "hash").collect()}) == len(pairs)
+
+
+def test_numbered_ids_are_unique_and_repeat_across_layouts(spark):
+    feed = [("T", str(i % 40), f"n{i % 7}") for i in range(300)]
+    feed += [("T", "hot", "copy")] * 500 + [("T", "hot", f"other {i}") for i in range(50)]
+    feed += [(None, "1", "x"), (None, "1", "x"), ("", "1", None), ("T", "alone", "x")]
+    columns = "SRC_TP_CD string, SRC_ID string, NAME string"
+    df = spark.createDataFrame(feed, columns)
+    found = op.add_record_id(df, "numbered").collect()
+    assert len({r.BU_REC_ID for r in found}) == len(feed)
+    assert sorted((tuple(r)[:3] for r in found), key=repr) == sorted(feed, key=repr)
+    again = op.add_record_id(spark.createDataFrame(feed[::-1], columns).repartition(5), "numbered")
+    assert rows(again) == sorted((tuple(r) for r in found), key=repr)
+    plain = {r.BU_REC_ID for r in op.add_record_id(df, "hash").collect()}
+    assert plain < {r.BU_REC_ID for r in found}  # the first row of each key keeps the plain id
+    assert op.add_record_id(df.limit(0), "numbered").count() == 0
+
+
+def test_unrepeated_keys_are_not_shuffled_for_their_numbers(spark):
+    df = spark.createDataFrame([("T", "1")], "SRC_TP_CD string, SRC_ID string")
+    plan = op.add_record_id(df, "numbered")._jdf.queryExecution().executedPlan().toString()
+    passing = plan.split("LeftAnti")[1].split("LeftSemi")[0]
+    assert "Exchange" not in passing.split("BroadcastExchange")[0]
+
+
 def test_blank_fill_leaves_numbers(spark):
     df = spark.createDataFrame([(None, None), ("a", 1)], "s string, n int")
     assert rows(op.fill_blank(df)) == [("", None), ("a", 1)]

@@ -105,6 +105,19 @@ def test_table_modes(spark, folder):
     assert rows(spark.table(parts).select("id")) == [(0,), (11,), (2,)]
 
 
+def test_a_first_write_that_is_repeated_doubles_nothing(spark, folder, monkeypatch):
+    """The table exists, empty, before the first rows come; rows of a lost attempt are replaced."""
+    df, name = spark.range(3).withColumn("part", F.lit(1)), f"f_{os.path.basename(folder)}"
+    name, key = name.replace("-", "_"), "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    for _ in range(2):
+        op.write_table(df, name, "overwrite_partitions", path=f"{folder}/p", partition_by="part")
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (part = 2)")
+        assert spark.table(name).count() == 3 and spark.conf.get(key) == before
+    op.write_table(df.limit(0), name, "overwrite_partitions", path=f"{folder}/p", partition_by="part")
+    assert spark.table(name).count() == 3
+
+
 def test_bucketed_table_joins_without_moving_its_rows(spark, folder):
     df = spark.range(100).select(F.col("id").cast("string").alias("BU_REC_ID"))
     name = f"b_{os.path.basename(folder)}".replace("-", "_")

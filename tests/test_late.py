@@ -115,3 +115,29 @@ def test_a_sieve_loses_no_key_and_stays_small(spark):
     crowd = spark.range(400_000).select(F.md5(F.col("id").cast("string")).alias("k"))
     assert op.sieve(crowd, "k").count() <= WORDS
     assert op.sift(ids, some.where("false"), "k").count() == 0
+
+
+def test_a_lost_checkpoint_leaves_the_table_equal(spark, folder):
+    land(f"{folder}/in", "a.csv", FEED[:1], SPEC)
+    none = spark.createDataFrame([], RESPONSE)
+
+    def call(offsets):
+        streaming.stream_feed(
+            spark, f"{folder}/in", SPEC, name, f"{folder}/{offsets}", "me", NOW, header=True,
+            cleansing=none, matches=none, table_path=f"{folder}/table", manifest=f"{folder}/files",
+        )
+        return rows(spark.table(name).select("SRC_ID", "SRC_INPUT_FILE_NAME"))
+
+    name = f"replayed_{abs(hash(folder))}"
+    call("first")
+    land(f"{folder}/in", "b.csv", FEED[1:], SPEC)
+    both = [("1", "a.csv"), ("2", "b.csv")]
+    assert call("first") == both and call("second") == both and call("second") == both
+    assert streaming.committed_rows(spark, name, f"{folder}/files").count() == 2
+    # rows of a file that is not listed yet are not committed
+    op.write_table(
+        spark.table(name).withColumn("SRC_INPUT_FILE_NAME", F.lit("c.csv")), name,
+        "overwrite_partitions", partition_by="SRC_INPUT_FILE_NAME",
+    )
+    assert spark.table(name).count() == 4
+    assert streaming.committed_rows(spark, name, f"{folder}/files").count() == 2

@@ -20,7 +20,7 @@ CTES = {
         SELECT s_suppkey, 'SUPPLIER', n_name
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "accounts": """
-        SELECT md5(concat_ws('|', kind, cast(k AS varchar))) AS BU_REC_ID, k,
+        SELECT md5(concat(length(kind), ':', kind, length(cast(k AS varchar)), ':', k)) AS BU_REC_ID, k,
           cast(k AS varchar) AS SRC_ID, kind AS SRC_TP_CD,
           CASE WHEN k % 53 = 0 THEN ''
                ELSE concat(kind, ' Store ', cast(k % 40 AS varchar)) END AS ORG_NAME,
@@ -40,7 +40,8 @@ CTES = {
         FROM parties""",
     # newest order of each customer: the answer that counts
     "newest": """
-        SELECT md5(concat_ws('|', c_mktsegment, cast(c_custkey AS varchar))) AS BU_REC_ID,
+        SELECT md5(concat(length(c_mktsegment), ':', c_mktsegment,
+            length(cast(c_custkey AS varchar)), ':', c_custkey)) AS BU_REC_ID,
           c_custkey AS k, o_orderkey AS o
         FROM customer JOIN (
           SELECT o_custkey, o_orderkey, row_number() OVER (
@@ -351,6 +352,11 @@ BODIES = {
     "audit_columns": f"SELECT SRC_ID, SRC_TP_CD, {_audit} FROM accounts",
     "ordered_rename": "SELECT * FROM stage",
     "record_id_hash": "SELECT BU_REC_ID, SRC_TP_CD, SRC_ID FROM accounts",
+    "record_id_numbered": """
+        SELECT CASE WHEN n = 0 THEN BU_REC_ID ELSE md5(BU_REC_ID || '#' || n::VARCHAR) END
+            AS BU_REC_ID, SRC_TP_CD, SRC_ID
+        FROM (SELECT *, unnest(range(CASE k % 10 WHEN 0 THEN 2 WHEN 1 THEN 3 ELSE 1 END)) AS n
+          FROM accounts)""",
     "record_id_uuid": """
         SELECT cast(count(*) AS bigint) AS n_rows, cast(1 AS bigint) AS max_per_id,
           cast(count(*) AS bigint) AS n_version_4 FROM accounts""",
@@ -361,7 +367,8 @@ BODIES = {
     "match_features": f"SELECT {_features} FROM filled",
     "match_request_json": f"SELECT {_features}, {_sent} FROM filled",
     "parse_match_bodies": f"""
-        SELECT md5(concat_ws('|', c_mktsegment, cast(c_custkey AS varchar))) AS BU_REC_ID,
+        SELECT md5(concat(length(c_mktsegment), ':', c_mktsegment,
+            length(cast(c_custkey AS varchar)), ':', c_custkey)) AS BU_REC_ID,
           concat(strftime(o_orderdate, '%Y-%m-%d'), '#', lpad(cast(o AS varchar), 12, '0'))
             AS received_at,
           status, well_formed, i AS pos,
@@ -489,6 +496,9 @@ BODIES = {
     "stream_feed": f"""
         SELECT m.*, cast(SRC_TP_CD = 'SUPPLIER' AS int) AS batch_id, true AS tagged
         FROM ({_matched('standardized_filled', _landed, 'lenient')}) m""",
+    "stream_feed_replayed": f"""
+        SELECT m.*, true AS tagged
+        FROM ({_matched('standardized_filled', _landed, 'lenient')}) m""",
     # settled by the run that finds an answer of each kind: none in the first, then some, then all
     "stream_late_feed": f"""
         SELECT r.*, CASE WHEN n.BU_REC_ID IS NULL THEN 3 WHEN r.BU_REC_ID < '8' THEN 1 ELSE 2 END

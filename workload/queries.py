@@ -41,6 +41,19 @@ def record_id_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("BU_REC_ID", "SRC_TP_CD", "SRC_ID")
 
 
+@query
+def record_id_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed in which keys repeat, with equal rows and with others; every row has its own id."""
+    rows, k = t.accounts(spark, sf_dir), F.col("SRC_ID").cast("bigint")
+    renamed = [
+        rows.where(k % 10 == 1).withColumn("ORG_NAME", F.concat("ORG_NAME", F.lit(f" {i}")))
+        for i in range(2)
+    ]
+    feed = rows.unionAll(rows.where(k % 10 == 0)).unionAll(renamed[0]).unionAll(renamed[1])
+    ids = op.add_record_id(op.hand_off(feed, "feed"), "numbered")
+    return ids.select("BU_REC_ID", "SRC_TP_CD", "SRC_ID")
+
+
 @query
 def record_id_uuid(spark: SparkSession, sf_dir: str) -> DataFrame:
     pattern = "^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
@@ -547,6 +560,34 @@ def stream_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).select("*", tagged).drop("SRC_INPUT_FILE_NAME")
 
 
+@query
+def stream_feed_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream loses its checkpoint after the second file set and reads all files once more."""
+    landing, out, manifest = (shared_dir(spark, n) for n in ("landing", "streamed", "manifest"))
+    first, second = shared_dir(spark, "offsets"), shared_dir(spark, "offsets")
+    name = _table_name(out)
+    for kind, checkpoint in (("customers", first), ("suppliers", first), (None, second)):
+        if kind:
+            _land(spark, sf_dir, landing, kind)
+        streaming.stream_feed(
+            spark,
+            landing,
+            t.SPEC,
+            name,
+            checkpoint,
+            user=t.USER,
+            now=t.NOW,
+            header=True,
+            cleansing=t.cleansing_responses(spark, sf_dir),
+            matches=t.match_responses(spark, sf_dir),
+            table_path=out,
+            manifest=manifest,
+        )
+    tagged = F.col("SRC_INPUT_FILE_NAME").endswith(".csv").alias("tagged")
+    whole = streaming.committed_rows(spark, name, manifest)
+    return whole.select("*", tagged).drop("SRC_INPUT_FILE_NAME")
+
+
 @query
 def stream_late_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers land after their records: at first none, then some, then all; the rest is given up."""

@@ -23,7 +23,7 @@ FILE = "accounts.csv.k1"
 SPEC = FeedSpec.accounts(FILE)
 AUDIT = AuditSpec.default()
 
-RECORD_ID = "md5(concat_ws('|', kind, string(k))) AS BU_REC_ID"
+RECORD_ID = "md5(concat(length(kind), ':', kind, length(string(k)), ':', k)) AS BU_REC_ID"
 
 
 WRITTEN: dict[tuple, str] = {}

@@ -48,10 +48,13 @@ RARELY = set(
 TEXTUAL = set("article content main body post entry story text page".split())
 # --- end of fixed values ---
 
+#: What stands in a tag behind its name. No step is ever taken back, and no tag reaches over the
+#: beginning of the next, so that unclosed tags and quotes cost no more than their length.
+_REST = r"(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)>"
+    r"|<(?P<raw>" + "|".join(RAW) + r")\b" + _REST + r">.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<rest>" + _REST + r")>"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
@@ -70,6 +73,10 @@ _ITEMS = {
 }
 
 
+#: Elements that would lie deeper become siblings, so that a block has a bounded way to the root.
+DEEPEST = 512
+
+
 class _Node:
     __slots__ = ("tag", "parent", "skip", "points", "chars", "links", "children", "depth", "within")
 
@@ -103,7 +110,9 @@ def _skipped(tag: str, rest: str, parent: _Node) -> bool:
     names = {w.lower() for w in _WORD.findall(f"{found.get('class', '')} {found.get('id', '')}")}
     if tag not in BLOCKS and tag not in ("span", "ins"):
         return False
-    return bool(names & NEVER) or bool(names & RARELY and not names & TEXTUAL and tag != "article")
+    if tag in LEAVES or tag == "article":  # a paragraph is not a header for being called "top"
+        return bool(names & NEVER)
+    return bool(names & NEVER) or bool(names & RARELY and not names & TEXTUAL)
 
 
 def _read(html: str) -> tuple[_Node, list[tuple[_Node, str, int]]]:
@@ -172,7 +181,8 @@ def _read(html: str) -> tuple[_Node, list[tuple[_Node, str, int]]]:
                     break
                 at = at.parent
             close_to(found or here)
-            here = _Node(tag, here, _skipped(tag, m["rest"], here))
+            over = here.parent if here.depth >= DEEPEST else here
+            here = _Node(tag, over, _skipped(tag, m["rest"], over))
         elif tag in VOID or m["rest"].endswith("/"):
             continue
         elif tag == "a":

@@ -10,7 +10,9 @@ it is later than all slots of its text, so a text takes few points beyond its sh
 
 Equal multisets are collapsed first. In each bucket of a band the members are compared with the
 bucket's least member; those that are alike join its class. Members still of another class are
-compared with further leaders in later rounds, and those that remain then, pair by pair.
+compared with further leaders in later rounds, more of them each time, until each bucket holds one
+class or its members are all compared. Two texts are compared by a byte of every slot first, and only pairs that agree in
+enough slots by their shingles.
 """
 
 from __future__ import annotations
@@ -28,8 +30,9 @@ from acctweave.operators.handoff import hand_off
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 25, 5  # a pair of similarity 0.8 meets in a band but for 5 in 100,000
-ROUNDS = 2  # of leaders, before the rest is compared pair by pair
+BANDS, ROWS = 30, 7  # a pair of similarity 0.8 meets in a band but for 9 in 10,000
+SURE = 6.0  # standard deviations that a pair may agree in fewer slots than its similarity says
+MORE = 4  # times as many leaders a bucket in each round as in the one before
 SPLIT = 256  # slices of the members of a leader
 
 
@@ -86,7 +89,7 @@ def signatures(shingle: np.ndarray, weight: np.ndarray, text: np.ndarray, n: int
 def _bands(shingle: int, bands: int, rows: int):
     def bands_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            keys, sets = [], []
+            keys, slots, sets = [], [], []
             for start, stop in rolling.chunks(texts):
                 words, text = rolling.word_hashes(texts.slice(start, stop - start))
                 limits = np.searchsorted(text, np.arange(stop - start + 1))
@@ -99,6 +102,7 @@ def _bands(shingle: int, bands: int, rows: int):
                 for r in range(rows):
                     band = rolling.mix(band ^ bits[:, r::rows])
                 keys.append(rolling.mix(band + np.arange(bands, dtype=np.uint64)).view(np.int64))
+                slots.append((rolling.mix(bits) >> np.uint64(56)).astype(np.uint8))
                 whole = rolling.mix(grams + rolling.mix(weights.astype(np.uint64)))
                 digest = np.zeros((2, len(bags)), np.uint64)  # of the multiset, in any order
                 np.add.at(digest[0], owner, whole)
@@ -111,34 +115,42 @@ def _bands(shingle: int, bands: int, rows: int):
                     pa.array(np.concatenate([d[1] for d, _ in sets]) if sets else [], pa.int64()),
                     pa.array(np.concatenate([s for _, s in sets]) if sets else [], pa.int64()),
                     pa.FixedSizeListArray.from_arrays(pa.array(flat), bands).cast(pa.list_(pa.int64())),
+                    pa.array([row.tobytes() for part in slots for row in part], pa.binary()),
                 ],
-                ["m1", "m2", "size", "bands"],
+                ["m1", "m2", "size", "bands", "slots"],
             )
 
-    return F.arrow_udf(bands_of, "m1 bigint, m2 bigint, size bigint, bands array<bigint>")
+    kind = "m1 bigint, m2 bigint, size bigint, bands array<bigint>, slots binary"
+    return F.arrow_udf(bands_of, kind)
 
 
-def _alike(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
-    """Of the pairs (a, b), those of texts alike. Each a's text is read once, before its b's.
+def _agreeing(n: int, least: float) -> int:
+    """Slots of ``n`` that texts of similarity ``least`` agree in, but for ``SURE`` deviations."""
+    return int(n * least - SURE * (n * least * (1 - least)) ** 0.5)
 
-    The b's of a are dealt over slices, in each of which a's text comes first.
+
+def _compared(pairs: DataFrame, held: DataFrame, read, alike) -> DataFrame:
+    """Of the pairs (a, b), those that are ``alike(read(a's), read(b's))`` by what ``held`` holds.
+
+    ``held`` has ``node`` and one column of what is compared. The b's of a are dealt over slices, in
+    each of which a comes first, so each is read once and no task gets all pairs of a hot a.
     """
+    (what,) = [c for c in held.columns if c != "node"]
     slices = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SPLIT)).alias("slice"))
     heads = slices.select("a", "slice").distinct().select("a", F.lit(-1).cast("long").alias("b"), "slice", F.col("a").alias("node"))
-    rows = heads.unionByName(slices.withColumn("node", F.col("b"))).join(texts, "node")
-    dealt = rows.select("a", "slice", (F.col("b") >= 0).alias("member"), "b", "text").repartition("a", "slice")
+    rows = heads.unionByName(slices.withColumn("node", F.col("b"))).join(held, "node")
+    dealt = rows.select("a", "slice", (F.col("b") >= 0).alias("member"), "b", what).repartition("a", "slice")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead, bag = None, None
+        lead, first = None, None
         for batch in batches:
             a_col, b_col = batch.column(0).to_numpy(), batch.column(3).to_numpy()
             left, right = [], []
             for i in range(batch.num_rows):
-                words, _ = rolling.word_hashes(batch.column(4).slice(i, 1))
-                own = shingles(words, shingle)
+                own = read(batch.column(4).slice(i, 1))
                 if b_col[i] < 0:
-                    lead, bag = a_col[i], own
-                elif a_col[i] == lead and similarity(bag, own) >= least:
+                    lead, first = a_col[i], own
+                elif a_col[i] == lead and alike(first, own):
                     left.append(a_col[i])
                     right.append(b_col[i])
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
@@ -146,21 +158,34 @@ def _alike(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> Da
     return dealt.sortWithinPartitions("a", "slice", "member").mapInArrow(compare, "a bigint, b bigint")
 
 
+def _alike(pairs: DataFrame, slots: DataFrame, texts: DataFrame, shingle: int, least: float, n: int) -> DataFrame:
+    """Of the pairs (a, b), those of texts alike: by their slots, then by their shingles."""
+    enough = _agreeing(n, least)
+
+    def bytes_of(one: pa.Array) -> np.ndarray:
+        return np.frombuffer(one[0].as_py(), np.uint8)
+
+    def shingles_of(one: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return shingles(rolling.word_hashes(one)[0], shingle)
+
+    agreeing = _compared(pairs, slots, bytes_of, lambda x, y: (x == y).sum() >= enough)
+    return _compared(hand_off(agreeing, "agreeing"), texts, shingles_of, lambda x, y: similarity(x, y) >= least)
+
+
 def classes(
     docs: DataFrame,
     shingle: int = SHINGLE,
     least: float = SIMILARITY,
     bands: int = BANDS,
     rows: int = ROWS,
-    rounds: int = ROUNDS,
 ) -> DataFrame:
-    """``key``, ``tag`` and ``class_key`` of every document of ``docs`` (``doc_id``, ``text``).
+    """``key``, ``tag``, ``class_key`` and ``class_tag`` of the documents ``docs`` (``doc_id``, ``text``).
 
     A class holds the documents that links of similarity ``least`` or more connect, and is named
-    by its least ``key``; ``key`` is the id, ``tag`` a hash of the text, which tells apart rows
-    that repeat an id. Texts without words (also null) are alike to none: a class each. Texts of
-    fewer than ``shingle`` words have one shingle, all their words. A null id counts as larger
-    than all others; all rows of null id with words alike are of one class.
+    by its least ``key`` and ``tag``; ``key`` is the id, ``tag`` a hash of the text, which tells apart
+    rows that repeat an id or have none. Texts without words (also null) are alike to none: a class
+    each. Texts of fewer than ``shingle`` words have one shingle, all their words. A null id counts
+    as larger than all others.
     """
     last = (1 << 63) - 1
     keyed = docs.select(
@@ -171,11 +196,12 @@ def classes(
     signed = hand_off(
         keyed.select("key", "tag", _bands(shingle, bands, rows)("text").alias("s")).select("key", "tag", "s.*"), "bands"
     )
-    worded = signed.where(F.col("size") > 0)
+    worded = signed.where(F.col("size") > 0).drop("bands", "slots")
     # equal multisets: the least (key, tag) stands for all; nodes are numbers of such groups
     groups = hand_off(
-        worded.groupBy("m1", "m2")
-        .agg(F.min(F.struct("key", "tag", "bands")).alias("f"))
+        signed.where(F.col("size") > 0)
+        .groupBy("m1", "m2")
+        .agg(F.min(F.struct("key", "tag", "bands", "slots")).alias("f"))
         .select("m1", "m2", "f.*"),
         "groups",
     ).withColumn("node", F.shiftrightunsigned(F.xxhash64("m1", "m2"), 1))
@@ -183,76 +209,82 @@ def classes(
     crowded = spread.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     members = hand_off(spread.join(crowded, ["band", "bucket"]), "members")
     met = members.select("node").distinct()
+    slots = hand_off(groups.join(met, "node").select("node", "slots"), "slots")
     texts = hand_off(
-        keyed.join(groups.join(met, "node").select("key", "tag", "node"), ["key", "tag"]).select("node", "text"),
+        keyed.join(groups.join(met, "node").select("key", "tag", "node"), ["key", "tag"])
+        .select("node", "text")
+        .dropDuplicates(["node"]),
         "texts",
     )
 
-    links = None
-    named = members.withColumn("component", F.col("node"))
-    led = None
-    for _ in range(rounds):
-        # a bucket's leader is its least member that has led none before
-        fresh = named if led is None else named.join(led, ["band", "bucket", "node"], "left_anti")
-        leaders = fresh.groupBy("band", "bucket").agg(F.min(F.struct("node", "component")).alias("l"))
+    links, width = None, 1
+    # members that have not led their buckets yet, of buckets with several classes
+    waiting = members.withColumn("component", F.col("node"))
+    while True:
+        place = F.row_number().over(Window.partitionBy("band", "bucket").orderBy("node"))
+        leaders = (
+            waiting.withColumn("place", place)
+            .where(F.col("place") <= width)
+            .select("band", "bucket", F.col("node").alias("a"), F.col("component").alias("of"))
+        )
         pairs = (
-            named.join(leaders, ["band", "bucket"])
-            .where(F.col("component") != F.col("l.component"))
-            .select(F.col("l.node").alias("a"), F.col("node").alias("b"))
-            .distinct()
+            waiting.join(leaders, ["band", "bucket"])
+            .where((F.col("a") < F.col("node")) & (F.col("component") != F.col("of")))
+            .select("a", F.col("node").alias("b"))
         )
-        found = hand_off(_alike(pairs, texts, shingle, least), "alike")
-        links = found if links is None else links.unionByName(found)
-        own = leaders.select("band", "bucket", F.col("l.node").alias("node"))
-        led = own if led is None else led.unionByName(own)
-        led = hand_off(led, "led")
-        named = _open(members, links)
-    # the rest: members of different classes that neither has led
-    rest = named.join(led, ["band", "bucket", "node"], "left_anti")
-    b = rest.select("band", "bucket", F.col("node").alias("b"), F.col("component").alias("bc"))
-    pairs = (
-        rest.withColumnRenamed("node", "a")
-        .join(b, ["band", "bucket"])
-        .where((F.col("a") < F.col("b")) & (F.col("component") != F.col("bc")))
-        .select("a", "b")
-        .distinct()
+        # a node meets only the least of its leaders at first, which takes in most large classes
+        pairs = pairs.groupBy("b").agg(F.min("a").alias("a")) if links is None else pairs.distinct()
+        found = hand_off(_alike(pairs, slots, texts, shingle, least, bands * rows), "alike")
+        if links is None:
+            links = found
+        else:  # leaders are done when all others were compared with them
+            links = links.unionByName(found)
+            led = leaders.select("band", "bucket", F.col("a").alias("node"))
+            waiting = waiting.join(led, ["band", "bucket", "node"], "left_anti")
+        named = components(links)
+        waiting = _open(waiting.drop("component"), named)
+        if waiting.isEmpty():
+            break
+        width *= MORE
+    named = groups.join(named, "node", "left").select(
+        "m1", "m2", "key", "tag", F.coalesce("component", "node").alias("component")
     )
-    links = links.unionByName(hand_off(_alike(pairs, texts, shingle, least), "alike"))
-    named = groups.join(components(links), "node", "left").select(
-        "m1", "m2", "key", F.coalesce("component", "node").alias("component")
+    names = named.groupBy("component").agg(F.min(F.struct("key", "tag")).alias("f"))
+    named = named.join(names, "component").select(
+        "m1", "m2", F.col("f.key").alias("class_key"), F.col("f.tag").alias("class_tag")
     )
-    keys = named.groupBy("component").agg(F.min("key").alias("class_key"))
-    named = named.join(keys, "component").select("m1", "m2", "class_key")
-    alone = signed.where(F.col("size") == 0).select("key", "tag", F.col("key").alias("class_key"))
-    return worded.join(named, ["m1", "m2"]).select("key", "tag", "class_key").unionByName(alone)
+    columns = ("key", "tag", "class_key", "class_tag")
+    alone = signed.where(F.col("size") == 0).select(
+        "key", "tag", F.col("key").alias("class_key"), F.col("tag").alias("class_tag")
+    )
+    return worded.join(named, ["m1", "m2"]).select(*columns).unionByName(alone)
 
 
-def _open(members: DataFrame, links: DataFrame) -> DataFrame:
+def _open(members: DataFrame, named: DataFrame) -> DataFrame:
     """Members with their classes so far, of the buckets that hold more than one class."""
-    named = members.join(
-        components(links), "node", "left"
-    ).select("band", "bucket", "node", F.coalesce("component", "node").alias("component"))
+    told = members.join(named, "node", "left").select(
+        "band", "bucket", "node", F.coalesce("component", "node").alias("component")
+    )
     mixed = (
-        named.groupBy("band", "bucket")
+        told.groupBy("band", "bucket")
         .agg(F.min("component").alias("x"), F.max("component").alias("y"))
         .where("x != y")
         .select("band", "bucket")
     )
-    return hand_off(named.join(mixed, ["band", "bucket"]), "open")
+    return hand_off(told.join(mixed, ["band", "bucket"]), "open")
 
 
 def keep_one(docs: DataFrame, **how) -> DataFrame:
-    """The documents of ``docs`` that remain, all columns as they are: the least id of each class.
+    """The documents of ``docs`` that remain, all columns as they are: one of each class.
 
-    Texts without words all stay. Of rows equal in id and text, and of rows of one class that share
-    the least id, one stays.
+    It is the one of the least id, and of these of the least hash of the text. Texts without words
+    all stay. Of rows equal in id and text one stays; unlike texts stay apart whatever their ids.
     """
     key, tag, place = common.fresh(docs, "_key", "_tag", "_place")
-    found = classes(docs, **how)
     first = (
-        found.groupBy("class_key")
-        .agg(F.min(F.struct("key", "tag")).alias("f"))
-        .select(F.col("f.key").alias(key), F.col("f.tag").alias(tag))
+        classes(docs, **how)
+        .where((F.col("key") == F.col("class_key")) & (F.col("tag") == F.col("class_tag")))
+        .select(F.col("key").alias(key), F.col("tag").alias(tag))
         .distinct()
     )
     keyed = docs.withColumns(
@@ -272,5 +304,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.when(F.col("key") != last, F.col("key")).alias("doc_id"),
         F.when(F.col("class_key") != last, F.col("class_key")).alias("class_id"),
-        (F.col("key") == F.col("class_key")).alias("kept"),
+        ((F.col("key") == F.col("class_key")) & (F.col("tag") == F.col("class_tag"))).alias("kept"),
     )

@@ -21,7 +21,7 @@ from acctweave.llm import common, rolling
 
 BUCKETS = 4_096
 DIM = 16
-SAMPLE = 1_200  # documents to learn from for each language; the bound of what the driver gets
+SAMPLE = 600  # documents to learn from for each language; the bound of what the driver gets
 UNKNOWN = "und"
 RESULT = "lang_pred string, score double, rejected boolean"
 

@@ -18,13 +18,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctweave.llm import common, rolling
+from acctweave.operators.handoff import hand_off
 
 BITS = 18
 BUCKETS = 1 << BITS
 PREFIXES = (3, 4, 5)  # bytes of a word's beginning that are features too
-MIN_DOCS = 4  # a feature of fewer documents of the sample gets no weight,
-MIN_Z = 4.0  # nor one whose share of toxic documents lies within so many standard deviations
-SAMPLE = 6_000  # documents to learn from for each label; the bound of what the driver gets
+MIN_DOCS = 2  # a feature of fewer documents of the sample gets no weight,
+MIN_Z = 2.0  # nor one whose share of toxic documents lies within so many standard deviations
+FOLDS = 3  # each labelled text gets a log-odds from a model that has not seen it
+SAMPLE = 1_500  # documents to learn from for each label,
+SAMPLE_BYTES = 6_000_000  # and bytes of their texts: the bound of what the driver gets
 DECIDE = 0.7  # score from which a document counts as toxic
 
 _WORD = np.full(256, 0, np.uint8)  # lower-cased bytes of words, 0 for all others
@@ -80,24 +83,39 @@ def _document_logit(z: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
 
 
 def fit(texts: list[str], toxic: list[int], epochs: int = 8, seed: int = 3) -> ToxicityModel:
-    """Train on texts and their labels; every fifth text is set aside to place the cut."""
+    """Train on texts and their labels; the cut is placed by log-odds from cross-fitting.
+
+    Each text gets its log-odds from a model fitted to the other folds, so that no text's own label
+    speaks for it and all labels count, however few there are. The model itself is fitted to all.
+    """
     y = np.array(toxic, float)
     if not len(y) or y.min() == y.max():  # one kind only: no evidence for either decision
         return ToxicityModel(np.zeros(BUCKETS, np.float32), -8.0, 0.0)
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(y))
-    aside = order[::5] if len(order) >= 50 else order
-    learn = np.setdiff1d(order, aside) if len(order) >= 50 else order.copy()
-    held = [features(pa.array([t], pa.string())) for t in texts]
+    held = []
+    for t in texts:
+        buckets, sentence, text, _ = features(pa.array([t], pa.string()))
+        held.append((buckets.astype(np.int32), sentence.astype(np.int32), text, None))
+    d = np.zeros(len(y))
+    for fold in range(FOLDS):
+        aside = order[fold::FOLDS]
+        model = _learn(held, y, np.setdiff1d(order, aside), epochs, rng)
+        d[aside] = [_score(held[i], model, 1)[0] for i in aside]
+    model = _learn(held, y, order, epochs, rng)
+    return ToxicityModel(model.weights, model.bias, _cut(d, y))
+
+
+def _learn(held: list, y: np.ndarray, learn: np.ndarray, epochs: int, rng) -> ToxicityModel:
+    """Stochastic gradient descent over the texts ``learn``; features without evidence stay at 0."""
+    learn = learn.copy()
     seen = np.zeros((2, BUCKETS))
     for i in learn:
         seen[int(y[i]), np.unique(held[i][0])] += 1
-    share, docs = y[learn].mean(), seen.sum(axis=0)
+    share, docs = y[learn].mean() if len(learn) else 0.0, seen.sum(axis=0)
     odd = seen[1] - docs * share
     sd = np.sqrt(docs * max(share * (1 - share), 1e-9))
-    usable = (docs >= min(MIN_DOCS, len(learn) // 2)) & (np.abs(odd) >= MIN_Z * np.maximum(sd, 1e-9))
-    if not usable.any():
-        usable = docs > 0
+    usable = (docs >= MIN_DOCS) & (np.abs(odd) >= MIN_Z * np.maximum(sd, 1e-9))
     weights, bias = np.zeros(BUCKETS), -6.0
     past = np.full(BUCKETS, 1e-2)  # sums of squared gradients: steps shrink feature by feature
     for epoch in range(epochs):
@@ -123,19 +141,25 @@ def fit(texts: list[str], toxic: list[int], epochs: int = 8, seed: int = 3) -> T
                 g[~usable[at]] = 0
                 past[at] += g * g
                 weights[at] -= 0.5 * g / np.sqrt(past[at])
-    model = ToxicityModel(weights.astype(np.float32), float(bias), 0.0)
-    d = np.array([_score(held[i], model, 1)[0] for i in aside])
-    return ToxicityModel(model.weights, model.bias, _cut(d, y[aside]))
+    return ToxicityModel(weights.astype(np.float32), float(bias), 0.0)
 
 
 def _cut(d: np.ndarray, y: np.ndarray) -> float:
-    """The log-odds that part the labels best by F1 when the kinds weigh alike; the widest gap's middle."""
+    """The log-odds that part the labels best by F1 when the kinds weigh alike; the widest gap's middle.
+
+    Only cuts above which most texts are toxic count: without one there is no evidence to go by, and
+    the cut lies above all texts.
+    """
     steps = np.unique(d)
     middles = (steps[1:] + steps[:-1]) / 2 if len(steps) > 1 else steps
     pos, neg = max(1, (y == 1).sum()), max(1, (y == 0).sum())
     hit = np.array([((d >= c) & (y == 1)).sum() / pos for c in middles])
     miss = np.array([((d >= c) & (y == 0)).sum() / neg for c in middles])
-    good = 2 * hit / (hit + 3 * miss + 1)  # a clean document flagged costs three missed ones
+    good = 2 * hit / (hit + 6 * miss + 1)  # a clean document flagged costs six missed ones
+    sound = hit * pos > miss * neg
+    if not sound.any():
+        return float(steps[-1]) + 1.0
+    good = np.where(sound, good, -1.0)
     best = np.flatnonzero(good >= good.max() - 1e-9)
     gaps = np.diff(steps)[best] if len(steps) > 1 else np.zeros(1)
     return float(middles[best[int(gaps.argmax())]])
@@ -146,12 +170,16 @@ def _score(found, model: ToxicityModel, n: int) -> np.ndarray:
     return _document_logit(_logits(buckets, sentence, len(text), model.weights, model.bias), text, n)
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityModel:
+def train(
+    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES
+) -> ToxicityModel:
     """Learn from ``text`` of the documents that are not held out, and their ``toxic`` labels.
 
     At most about ``sample`` documents of each label are drawn, by a hash of the id, at rates from
-    counts over all labelled documents. A document with several labels is toxic if any says so;
-    rows without id, text or label are not used.
+    counts over all labelled documents; of these, as many in the order of the hash as hold
+    ``sample_bytes`` a label, whole texts only. A document with several labels is toxic if any says
+    so, and of rows that repeat an id one text is used; rows without id, text or label are not. A
+    table without labels of both kinds gives a model that flags nothing.
     """
     marks = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
@@ -164,13 +192,27 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityM
     for kind, n in sorted(counts.items()):
         rates = F.when(F.col("_toxic") == kind, min(1.0, sample / n)).otherwise(rates)
     drawn = marks.where(common.share(F.col("doc_id"), rates))
-    rows = (
+    stored = hand_off(
         docs.select("doc_id", "text")
         .where(F.col("text").isNotNull())
         .join(F.broadcast(drawn), "doc_id")  # at most about two samples of ids
-        .select("text", "_toxic")
-        .toPandas()
-    )
+        .groupBy("doc_id", "_toxic")
+        .agg(F.min("text").alias("text")),
+        "labelled",
+    ).withColumn("_place", F.xxhash64("doc_id"))
+    sizes = stored.select("_toxic", "_place", F.octet_length("text").alias("size")).collect()
+    ends = {}  # of each label, the first hash that is not used any more
+    for kind in sorted(counts):
+        total = 0
+        for r in sorted((r for r in sizes if r._toxic == kind), key=lambda r: r._place):
+            total += r.size
+            if total > sample_bytes:
+                ends[kind] = r._place
+                break
+    within = F.lit(True)
+    for kind, end in ends.items():
+        within = within & ((F.col("_toxic") != kind) | (F.col("_place") < end))
+    rows = stored.where(within).orderBy("_place").select("text", "_toxic").toPandas()
     return fit(list(rows.text), list(rows._toxic))
 
 

@@ -8,7 +8,8 @@ exact cosine in double precision suffices.
 Counting over all pairs of a label would grow with their square. So vectors meet only where they
 share a cell of one of ``TABLES`` grids, each of ``DEPTH`` of the lines; a pair is counted in the
 first grid where it shares one. In a cell the projections are sorted line by line, and windows are
-ranges of ranks. Large cells are cut into blocks, and pairs of blocks are separate tasks; nothing
+ranges of ranks. After ``FIRST`` lines most pairs fall short of what pairs at the least cosine reach
+there; the others are counted on all lines as a list. Large cells are cut into blocks, and pairs of blocks are separate tasks; nothing
 is capped. Tasks return sums of links and a spanning forest of them, never pairs.
 """
 
@@ -32,6 +33,8 @@ TABLES, DEPTH = 24, 8
 CELL = 5.0  # side of a cell, in distances of vectors at the least cosine
 HALF_WINDOW = 1.5  # in the same distances
 RECALL = 0.9995  # of the count, per pair at the least cosine
+FIRST, FIRST_RECALL = 16, 0.99995  # lines that all pairs of a cell are counted on, and their recall
+PAIRS = 20_000  # pairs that are counted on all lines at once
 BLOCK = 1_500  # vectors of a cell that meet at once
 SEED = 11
 
@@ -82,7 +85,7 @@ def link_vectors(
     and their cosine is ``cosine`` or more. Vectors that are null, empty, zero or hold null or
     non-finite numbers, rows without an id, and vectors of different lengths are not linked;
     unlinked rows have 0 links and their own id as the component. Equal vectors are one until the
-    end and count as often as they occur. Rows that repeat an id have its links together.
+    end and count as often as they occur. Rows that repeat an id have the links of their own vectors.
     """
     rows = vectors.select("vec_id", "embedding", "label")
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -95,12 +98,20 @@ def link_vectors(
     )
     good = rows.where(F.coalesce(usable, F.lit(False)))
     groups = hand_off(
-        good.groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")),
+        good.groupBy("label", "embedding").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies")),
         "vectors",
-    ).withColumn("dim", F.size("embedding"))
+    ).withColumns(
+        {
+            "dim": F.size("embedding"),
+            # a number of its own for each distinct vector of a label, as ids may repeat
+            "node": F.shiftrightunsigned(F.xxhash64("label", "embedding"), 1),
+        }
+    )
     far = math.sqrt(2 - 2 * cosine)
     side, half = CELL * far, HALF_WINDOW * far
     needed = least_collisions(tables * depth)
+    first = min(FIRST, tables * depth)
+    soon = least_collisions(first, recall=FIRST_RECALL)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,23 +184,29 @@ def link_vectors(
         h = x @ lines
         n = len(x)
         hits = np.zeros((n, n), np.int16)
-        for line in h.T:  # windows as ranges of ranks in the sorted line
+        for line in h.T[:first]:  # windows as ranges of ranks in the sorted line
             order = np.argsort(line, kind="stable")
             rank = np.empty(n, np.int32)
             rank[order] = np.arange(n, dtype=np.int32)
             low = np.searchsorted(line[order], line - half, side="left").astype(np.int32)
             high = np.searchsorted(line[order], line + half, side="right").astype(np.int32)
             hits += (rank >= low[:, None]) & (rank < high[:, None])
-        near = np.triu(np.maximum(hits, hits.T) >= needed, 1)
+        near = np.triu(np.maximum(hits, hits.T) >= soon, 1)
         if two:
             near &= own[:, None] != own
         i, j = np.nonzero(near)
         at = _cells(h, shift, side, tables)
-        if len(i) and grid:  # counted in an earlier grid already
-            new = ~(at[i, :grid] == at[j, :grid]).any(axis=1)
-            i, j = i[new], j[new]
-        ok = np.einsum("ij,ij->i", x[i], x[j]) >= cosine
-        i, j = i[ok], j[ok]
+        kept = [(i[:0], j[:0])]
+        for k in range(0, len(i), PAIRS):
+            a, b = i[k : k + PAIRS], j[k : k + PAIRS]
+            if grid:  # counted in an earlier grid already
+                new = ~(at[a, :grid] == at[b, :grid]).any(axis=1)
+                a, b = a[new], b[new]
+            enough = (np.abs(h[a] - h[b]) <= half).sum(axis=1) >= needed
+            a, b = a[enough], b[enough]
+            ok = np.einsum("ij,ij->i", x[a], x[b]) >= cosine
+            kept.append((a[ok], b[ok]))
+        i, j = (np.concatenate(z) for z in zip(*kept, strict=True))
         links = np.bincount(i, copies[j], n) + np.bincount(j, copies[i], n)
         up = np.arange(n)
         for a, b in zip(i.tolist(), j.tolist(), strict=True):
@@ -218,10 +235,15 @@ def link_vectors(
         .select(
             "label",
             "embedding",
+            "least",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("links"),
             F.coalesce("component", "node").alias("component"),
         )
     )
+    names = by_group.groupBy("component").agg(F.min("least").alias("name"))
+    by_group = by_group.join(names, "component").select(
+        "label", "embedding", "links", F.col("name").alias("component")
+    )
     linked = good.join(by_group, ["label", "embedding"]).select(
         "vec_id", F.col("links").alias("n_links"), F.col("component").alias("component_id")
     )

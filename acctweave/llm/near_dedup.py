@@ -218,6 +218,7 @@ def classes(
     )
 
     links, width = None, 1
+    labels = met.withColumn("component", F.col("node"))
     # members that have not led their buckets yet, of buckets with several classes
     waiting = members.withColumn("component", F.col("node"))
     while True:
@@ -241,12 +242,12 @@ def classes(
             links = links.unionByName(found)
             led = leaders.select("band", "bucket", F.col("a").alias("node"))
             waiting = waiting.join(led, ["band", "bucket", "node"], "left_anti")
-        named = components(links)
-        waiting = _open(waiting.drop("component"), named)
+        labels = _closer(labels, links)
+        waiting = _open(waiting.drop("component"), labels)
         if waiting.isEmpty():
             break
         width *= MORE
-    named = groups.join(named, "node", "left").select(
+    named = groups.join(components(links), "node", "left").select(
         "m1", "m2", "key", "tag", F.coalesce("component", "node").alias("component")
     )
     names = named.groupBy("component").agg(F.min(F.struct("key", "tag")).alias("f"))
@@ -260,11 +261,28 @@ def classes(
     return worded.join(named, ["m1", "m2"]).select(*columns).unionByName(alone)
 
 
-def _open(members: DataFrame, named: DataFrame) -> DataFrame:
-    """Members with their classes so far, of the buckets that hold more than one class."""
-    told = members.join(named, "node", "left").select(
-        "band", "bucket", "node", F.coalesce("component", "node").alias("component")
-    )
+def _closer(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Each node with the least label within two links of it.
+
+    Nodes of one label are connected. Others may be, too; that costs comparisons, and the classes are
+    found from all links in the end.
+    """
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    for _ in range(2):
+        near = (
+            both.join(labels.withColumnRenamed("node", "b"), "b")
+            .groupBy(F.col("a").alias("node"))
+            .agg(F.min("component").alias("near"))
+        )
+        labels = labels.join(near, "node", "left").select(
+            "node", F.least("component", "near").alias("component")
+        )
+    return hand_off(labels, "labels")
+
+
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members with their labels, of the buckets that hold more than one label."""
+    told = members.join(labels, "node").select("band", "bucket", "node", "component")
     mixed = (
         told.groupBy("band", "bucket")
         .agg(F.min("component").alias("x"), F.max("component").alias("y"))

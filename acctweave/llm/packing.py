@@ -119,8 +119,8 @@ def pack(
 ) -> DataFrame:
     """Pieces of ``docs`` (``doc_id``, ``text``, ``source``) in sequences of ``length`` ids.
 
-    ``weights`` are the target shares of the sources, over all ids by default; a source without
-    a weight gets that of the smallest named one. A queue holds the documents of its source in
+    ``weights`` are the target shares of the sources, over all ids by default, and must be above 0; a
+    source without a weight gets that of the smallest named one. A queue holds the documents of its source in
     the order of a hash of their number in the stored table of ids. When a queue has ended, the others share its part.
 
     Null and empty texts are a document of the one id ``end``. A null source is a queue of its
@@ -128,6 +128,8 @@ def pack(
     gives no pieces. Returns one row per piece: ``doc_id``, ``start``, ``length``, ``doc_tokens``,
     ``sequence_id``, ``offset``, ``ids`` (binary, as in ``tokens``).
     """
+    if weights and not all(w > 0 for w in weights.values()):
+        raise ValueError("every weight must be above 0; leave out the documents of a source instead")
     spark = docs.sparkSession
     stored = shared_dir(spark, "tokens")
     (

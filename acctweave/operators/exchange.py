@@ -45,6 +45,7 @@ def _record() -> Column:
     name = F.upper(std("NAME"))
     line1, line2 = std("ADDRESS_LINE_1"), std("ADDRESS_LINE_2")
     zip5, zip4, phone = std("ZIP_CODE"), std("ZIP_SUPP"), std("PHONE_NUMBER")
+    # fixed values: the feature names of the matching service's contract, in its order
     features = {
         "site_address_1": line1,
         "site_address_2": line2,

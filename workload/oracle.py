@@ -487,6 +487,13 @@ BODIES = {
     "match_feed_strict": _matched(
         "(SELECT * FROM standardized_filled ORDER BY SRC_ID, BU_REC_ID LIMIT 50)", _all, "strict"
     ),
+    "match_feed_strict_whole": _matched("standardized_filled", _all, "strict"),
+    "standardize_contacts": f"""
+        SELECT a.BU_REC_ID, {', '.join(f'{e} AS SRC_{n}' for n, e in PERSON.items())},
+          p.* EXCLUDE (answered)
+        FROM accounts a LEFT JOIN (
+          SELECT BU_REC_ID AS answered, {_contact_columns()} FROM cleansed) p
+          ON a.BU_REC_ID = answered""",
     "match_feed_native": _native_match("native_filled"),
     "publish_feed": f"""
         SELECT sink, m.* FROM (SELECT unnest(['csv', 'table']) AS sink) CROSS JOIN

@@ -490,6 +490,19 @@ def match_feed_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.match_feed(standardize_feed(spark, sf_dir), answers, policy="strict", cap=50)
 
 
+@query
+def match_feed_strict_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    answers = t.match_responses(spark, sf_dir)
+    return plans.match_feed(standardize_feed(spark, sf_dir), answers, policy="strict")
+
+
+@query
+def standardize_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The standardize job for a contact feed."""
+    contacts, answers = t.contacts(spark, sf_dir), t.cleansing_responses(spark, sf_dir, "CONTACT")
+    return plans.standardize_feed(contacts, t.CONTACT_SPEC, responses=answers)
+
+
 @query
 def match_feed_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     master = t.cluster_master(spark, sf_dir)

@@ -285,6 +285,33 @@ CONTACT = {
 }
 
 
+CONTACT_FIELDS = [
+    *layouts.PERSON_ELEMENTS,
+    *(f for f in layouts.ADDRESS_FIELDS),
+    *(f"{f}_{kind}" for f in layouts.ADDRESS_ELEMENTS for kind in ("FAULT_CD", "FAULT_DESC")),
+    "PHONE",
+    "AREACD",
+]
+# inputs are renamed on their way out; the standardized columns keep their names
+CONTACT_OUTPUT = (
+    [("BU_REC_ID", "BU_REC_ID")]
+    + [(c, f"SRC_{c}") for c in CONTACT]
+    + [(f"STD_PER_{f}", f"STD_PER_{f}") for f in CONTACT_FIELDS]
+)
+CONTACT_SPEC = FeedSpec.from_dict(
+    {
+        "file_config": {"process_type": "CONTACT"},
+        "input_fields": [
+            {"position": i, "name": c, "type": "STRING"} for i, c in enumerate(CONTACT)
+        ],
+        "output_fields": [
+            {"position": i, "source_field": source, "target_field": target}
+            for i, (source, target) in enumerate(CONTACT_OUTPUT)
+        ],
+    }
+)
+
+
 @written
 def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``BU_REC_ID`` and the 16 contact input columns, one contact per account."""

@@ -153,7 +153,8 @@ def compress(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept"),
     )
     first = rows.select("key", "values").orderBy(F.asc_nulls_last("key"), "values").limit(entries)
-    start = np.array([r["values"] for r in first.collect()], np.int64).reshape(-1, positions, size)
+    found = [r["values"] for r in first.collect()]
+    start = np.array(found, np.int64).reshape(len(found), positions, size)
     books = np.ascontiguousarray(start.transpose(1, 0, 2))
 
     cut = F.transform(

@@ -63,7 +63,8 @@ def test_judge_keeps_rows_and_clashing_columns(docs):
     out = qr.judge(docs)
     assert out.columns == [*docs.columns, "verdict_"] and out.count() == len(TEXTS)
     judged = {r.doc_id: r.verdict_ for r in out.collect()}
-    assert judged[2] == "symbols" and judged[10] is None and judged[4] is None and judged[5] is None
+    # which of several rules that reject it is named, the measured order decides
+    assert judged[2] is not None and {judged[10], judged[4], judged[5]} == {None}
     assert qr.judge(docs.where("false")).count() == 0
 
 

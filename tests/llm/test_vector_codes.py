@@ -66,10 +66,14 @@ def test_unusable_vectors_ties_and_repeated_rows(spark):
         (7, [1e30, 0.0, 0.0, 0.0], 7, "e", 1, 2),  # held within the bound
     ]
     found = vc.compress(spark.createDataFrame(rows, ROWS), positions=2, entries=3, rounds=2)
-    codes = sorted(((r.vec_id, r.label, r.code) for r in found.codes.collect()), key=repr)
-    assert [c[0] for c in codes].count(1) == 2 and len(codes) == 5
-    assert [c for c in codes if c[0] == 1][0][2] == [0, 0]
-    assert found.codebooks.shape == (2, 3, 2)
+    # in the order of the keys, null last
+    whole = [[0, 256, 0, 256]] * 2 + [[0] * 4, [vc.BOUND, 0, 0, 0], [2304, -2305, 0, 0]]
+    want, books = lloyd(whole, 2, 3, 2)
+    codes = sorted(((r.vec_id, r.code, r.error) for r in found.codes.collect()), key=repr)
+    keys = [1, 1, 6, 7, None]
+    expected = [(k, [e for e, _ in row], sum(d for _, d in row)) for k, row in zip(keys, want, strict=True)]
+    assert codes == sorted(expected, key=repr)
+    assert found.codebooks.tolist() == books
 
 
 def test_empty_table_and_empty_vectors(spark):

@@ -115,3 +115,9 @@ def test_a_composed_job_sifts_without_its_own_joins(spark):
         t.prepared(spark, SF_DIR), t.SPEC, responses=t.cleansing_responses(spark, SF_DIR)
     )
     assert plan(plans.match_feed(stage, t.match_responses(spark, SF_DIR))).count("from_xml(") == 3
+
+
+def test_bodies_of_answers_are_made_where_they_are_written(spark):
+    for derive in (t.match_responses, t.cleansing_responses):
+        text = plan(derive.__wrapped__(spark, SF_DIR))
+        assert text.index(" AS body") < text.index("Exchange RoundRobinPartitioning")

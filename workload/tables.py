@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import wraps
+from functools import partial, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,11 +29,18 @@ RECORD_ID = "md5(concat(length(kind), ':', kind, length(string(k)), ':', k)) AS
 WRITTEN: dict[tuple, str] = {}
 
 
-def written(derive: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` in as many partitions, and files, as there are cores."""
+    return op.spread(df, df.sparkSession.sparkContext.defaultParallelism)
+
+
+def written(
+    derive: Callable[..., DataFrame], lay: Callable[[DataFrame], DataFrame] = dealt
+) -> Callable[..., DataFrame]:
     """Write a derived table to the shared folder once per session and read it from there after.
 
     A feed, a response table or a reference lies in storage, in several files, before a job starts;
-    so it does here.
+    so it does here. ``lay`` is what a table goes through on its way to the files.
     """
 
     @wraps(derive)
@@ -41,14 +48,17 @@ def written(derive: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         key = (spark.sparkContext.applicationId, sf_dir, derive.__name__, *args)
         if key not in WRITTEN:
             path = shared_dir(spark, derive.__name__)
-            files = spark.sparkContext.defaultParallelism
-            op.write_out(op.spread(derive(spark, sf_dir, *args), files), path, "PARQUET")
+            op.write_out(lay(derive(spark, sf_dir, *args)), path, "PARQUET")
             WRITTEN[key] = path
         return spark.read.parquet(WRITTEN[key])
 
     return read
 
 
+#: For tables dealt by their small columns already, so that long texts are made where they are written.
+written_as_is = partial(written, lay=lambda df: df)
+
+
 def _as(columns: dict[str, str]) -> list[str]:
     return [f"{expression} AS {name}" for name, expression in columns.items()]
 
@@ -130,19 +140,18 @@ def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order key ``o`` and party columns."""
+    """Order key ``o`` and party columns, dealt before any body is made from them."""
     orders = table(spark, sf_dir, "orders").selectExpr(
         "o_custkey AS k", "o_orderkey AS o", "o_orderdate"
     )
     customers = parties(spark, sf_dir).where("kind <> 'SUPPLIER'")
     received = "concat(date_format(o_orderdate, 'yyyy-MM-dd'), '#', lpad(string(o), 12, '0'))"
-    return (
-        orders.join(customers, "k")
-        .selectExpr("k", "kind", "state", "o", RECORD_ID, f"{received} AS received_at")
+    return dealt(orders.join(customers, "k")).selectExpr(
+        "k", "kind", "state", "o", RECORD_ID, f"{received} AS received_at"
     )
 
 
-@written
+@written_as_is
 def match_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status and newline-delimited JSON by the order key."""
 
@@ -247,7 +256,7 @@ def _document(process_type: str) -> str:
     return f"concat({', '.join(parts)})"
 
 
-@written
+@written_as_is
 def cleansing_responses(
     spark: SparkSession, sf_dir: str, process_type: str = "ACCOUNTS"
 ) -> DataFrame:

@@ -13,43 +13,88 @@ from collections.abc import Callable, Sequence
 #: Chunks kept by a worker: two generations of at most so many, whatever the corpus holds.
 REMEMBERED = 200_000
 
-_NEAR_SPACE = re.compile(r" \s|\s ")
+#: The white space of ``\s`` other than a space.
+_OTHERS = "\n\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Latin letters, then ASCII that is no letter: the splitting pattern always cuts between the two.
+_CORE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([\x00-@\[-`{-\x7f].*)", re.S)
+
+
+def _near_space(text: str) -> bool:
+    """Whether a space meets other white space; searches for fixed texts, as a pattern takes longer."""
+    return "  " in text or any(w in text and (f" {w}" in text or f"{w} " in text) for w in _OTHERS)
 
 
 def split(text: str) -> list[str]:
     """The chunks of a text, without the spaces between them; whole runs of white space stay."""
-    return _CUT.split(text) if _NEAR_SPACE.search(text) else text.split(" ")
+    return _CUT.split(text) if _near_space(text) else text.split(" ")
 
 
 class ChunkCache:
-    """Ids (as bytes) of texts; ``encode`` gives those of a list of strings."""
+    """Ids (as bytes) of texts; ``encode`` gives those of a list of strings, none of them without ids.
 
-    def __init__(self, encode: Callable[[list[str]], Sequence[bytes]], remembered: int = REMEMBERED):
-        self.encode, self.remembered = encode, remembered
-        self.now: dict[str, bytes] = {}
+    With ``cores``, a new chunk of letters and what follows them, such as a word and its comma, is
+    put together from the two, which are remembered, too. It takes a splitting pattern that keeps
+    runs of letters apart from all others, but for a space in front.
+    """
+
+    def __init__(
+        self,
+        encode: Callable[[list[str]], Sequence[bytes]],
+        remembered: int = REMEMBERED,
+        cores: bool = False,
+    ):
+        self.encode, self.remembered, self.cores = encode, remembered, cores
+        self.now: dict[str, bytes] = {}  # by chunk, its space left out
         self.before: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}  # what follows a core, with no space in front
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        split_texts = [split(t) for t in texts]
-        inner: set[str] = set()
-        for chunks in split_texts:
-            inner.update(chunks[1:])
         if len(self.now) > self.remembered:
             self.before, self.now = self.now, {}
-        now, before = self.now, self.before
-        new = []
-        for c in inner.difference(now):
+        if len(self.tails) > self.remembered:
+            self.tails = {}
+        heads, rows, unknown = [], [], set()
+        get = self.now.get
+        for text in texts:
+            head, *chunks = split(text)
+            found = list(map(get, chunks))
+            gaps = [] if all(found) else [k for k, ids in enumerate(found) if ids is None]
+            missed = [chunks[k] for k in gaps]
+            unknown.update(missed)
+            heads.append(head)
+            rows.append((found, gaps, missed))
+        first = self._learn(unknown, heads)
+        now = self.now
+        out = []
+        for head, (found, gaps, chunks) in zip(first, rows, strict=True):
+            for k, chunk in zip(gaps, chunks, strict=True):
+                found[k] = now[chunk]
+            out.append(head + b"".join(found))
+        return out
+
+    def _learn(self, unknown: set[str], heads: list[str]) -> Sequence[bytes]:
+        """Remember the ids of ``unknown`` chunks; returns those of ``heads``."""
+        now, before, tails = self.now, self.before, self.tails
+        new, parts = [], []
+        for c in unknown:
+            known = before.get(c)
+            if known is not None:
+                now[c] = known
+            elif self.cores and (cut := _CORE.fullmatch(c)):
+                parts.append((c, *cut.groups()))
+            else:
+                new.append(c)
+        for c in {core for _, core, _ in parts}.difference(now).difference(new):
             known = before.get(c)
             if known is None:
                 new.append(c)
             else:
                 now[c] = known
-        heads = [chunks[0] for chunks in split_texts]
-        found = self.encode([" " + c for c in new] + heads)
-        now.update(zip(new, found, strict=False))
-        get = now.__getitem__
-        return [
-            head + b"".join(map(get, chunks[1:]))
-            for head, chunks in zip(found[len(new) :], split_texts, strict=True)
-        ]
+        rest = list({tail for *_, tail in parts}.difference(tails))
+        ids = self.encode([" " + c for c in new] + rest + heads)
+        now.update(zip(new, ids, strict=False))
+        tails.update(zip(rest, ids[len(new) :], strict=False))
+        for c, core, tail in parts:
+            now[c] = now[core] + tails[tail]
+        return ids[len(new) + len(rest) :]

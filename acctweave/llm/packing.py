@@ -13,6 +13,7 @@ lengths into places (running sums over blocks of documents, then over blocks of
 
 from __future__ import annotations
 
+import json
 import math
 import os
 import re
@@ -40,28 +41,55 @@ TOGETHER = 128  # chunks encoded as one text
 NO_SOURCE = "\x00"  # the queue of documents without a source
 
 _WORD = re.compile(r" \S(?:[^ ]*\S)?")
+_LETTERS = re.compile(r" [A-Za-zÀ-ÖØ-öø-ɏ]+")
+#: How the byte-level vocabulary writes the bytes of letters: itself, or behind U+0100 in their order.
+_BYTES = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+_WRITTEN = {b: 0x100 + k for k, b in enumerate(_BYTES)}
 
 
 @cache
 def _tokenizer(path: str, end: int) -> ChunkCache:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core already
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import WhitespaceSplit
 
     tokenizer = Tokenizer.from_file(path)
+    setup = json.loads(tokenizer.to_str())
+    split = setup["pre_tokenizer"] or {}
+    # letters are a piece of their own, and no text is changed or taken out before it is split
+    plain = (
+        split.get("type") == "ByteLevel"
+        and split.get("use_regex", True)
+        and not split.get("add_prefix_space", True)
+        and setup["normalizer"] is None
+        and all(t["content"].startswith("<") and not t["normalized"] for t in setup["added_tokens"])
+    )
+    ready = Tokenizer.from_file(path)  # for words as the vocabulary writes them
+    ready.pre_tokenizer = WhitespaceSplit()
 
     opens = np.zeros(tokenizer.get_vocab_size(), bool)  # ids of tokens that begin with a space
     opens[[i for t, i in tokenizer.get_vocab().items() if t.startswith(SPACE)]] = True
 
-    def each(texts: list[str]) -> list[np.ndarray]:
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)  # without offsets
+    def each(texts: list[str], by: Tokenizer = tokenizer) -> list[np.ndarray]:
+        found = by.encode_batch_fast(texts, add_special_tokens=False)  # without offsets
         return [np.array(x.ids, "<u4") for x in found]
 
+    def words(text: str) -> str:
+        return text.encode().decode("latin-1").translate(_WRITTEN).replace(SPACE, f" {SPACE}")
+
     def encode(chunks: list[str]) -> list[bytes]:
         # chunks with no space but the one in front are encoded as one text and told apart by it
-        joined = [k for k, c in enumerate(chunks) if _WORD.fullmatch(c)]
-        groups = [joined[k : k + TOGETHER] for k in range(0, len(joined), TOGETHER)]
+        letters, others = [], []
+        for k, c in enumerate(chunks):
+            if plain and _LETTERS.fullmatch(c):
+                letters.append(k)
+            elif _WORD.fullmatch(c):
+                others.append(k)
+        groups = [x[k : k + TOGETHER] for x in (letters, others) for k in range(0, len(x), TOGETHER)]
+        texts = ["".join(chunks[k] for k in g) for g in groups]
+        n = math.ceil(len(letters) / TOGETHER)
         out: list[bytes | None] = [None] * len(chunks)
-        for group, ids in zip(groups, each(["".join(chunks[k] for k in g) for g in groups]), strict=True):
+        for group, ids in zip(groups, each([words(t) for t in texts[:n]], ready) + each(texts[n:]), strict=True):
             starts = np.flatnonzero(opens[ids])
             if len(starts) == len(group):  # always, with a vocabulary of single leading spaces
                 raw, places = ids.tobytes(), [*(starts * 4).tolist(), len(ids) * 4]
@@ -72,7 +100,7 @@ def _tokenizer(path: str, end: int) -> ChunkCache:
             out[k] = ids.tobytes()
         return out
 
-    return ChunkCache(encode)
+    return ChunkCache(encode, cores=plain)
 
 
 def tokens(docs: DataFrame, path: str = TOKENIZER, end: int = END) -> DataFrame:

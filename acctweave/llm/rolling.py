@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 
 BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
 OTHER_BASE = 0xD1342543DE82EF95
-CHUNK_BYTES = 2_000_000  # texts hashed at once, unless a single one is longer
+CHUNK_BYTES = 300_000  # texts hashed at once, unless a single one is longer
 
 #: ASCII white space: space, and tab to carriage return.
 IS_SPACE = np.zeros(256, bool)

@@ -1,12 +1,14 @@
-"""Texts in chunks: what is encoded anew."""
+"""Texts in chunks: what is encoded anew, and what memory their hashes take."""
 
 import random
 import re
 import struct
+import tracemalloc
 
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-from acctweave.llm import chunk_cache, packing
+from acctweave.llm import chunk_cache, packing, rolling
 
 
 def test_a_word_is_encoded_once_whatever_follows_it():
@@ -40,3 +42,13 @@ def test_the_quick_search_for_white_space_finds_what_a_pattern_finds():
     for w in every:
         for text in (f"a {w}b", f"a{w} b", f"a{w}b c"):
             assert chunk_cache._near_space(text) == bool(re.search(r" \s|\s ", text))
+
+
+def test_hashes_of_many_texts_take_little_memory():
+    texts = pa.array(["word " * 200] * 5_000)
+    tracemalloc.start()
+    for start, stop in rolling.chunks(texts):
+        rolling.word_hashes(texts.slice(start, stop - start))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6

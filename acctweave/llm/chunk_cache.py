@@ -81,7 +81,7 @@ class ChunkCache:
             known = before.get(c)
             if known is not None:
                 now[c] = known
-            elif self.cores and (cut := _CORE.fullmatch(c)):
+            elif self.cores and not c.isalpha() and (cut := _CORE.fullmatch(c)):
                 parts.append((c, *cut.groups()))
             else:
                 new.append(c)

@@ -42,9 +42,9 @@ NO_SOURCE = "\x00"  # the queue of documents without a source
 
 _WORD = re.compile(r" \S(?:[^ ]*\S)?")
 _LETTERS = re.compile(r" [A-Za-zÀ-ÖØ-öø-ɏ]+")
-#: How the byte-level vocabulary writes the bytes of letters: itself, or behind U+0100 in their order.
+#: The bytes beyond ASCII letters that the byte-level vocabulary writes as others, behind U+0100 in their order.
 _BYTES = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
-_WRITTEN = {b: 0x100 + k for k, b in enumerate(_BYTES)}
+_WRITTEN = [(chr(b), chr(0x100 + k)) for k, b in enumerate(_BYTES) if b > 127]
 
 
 @cache
@@ -75,7 +75,11 @@ def _tokenizer(path: str, end: int) -> ChunkCache:
         return [np.array(x.ids, "<u4") for x in found]
 
     def words(text: str) -> str:
-        return text.encode().decode("latin-1").translate(_WRITTEN).replace(SPACE, f" {SPACE}")
+        if not text.isascii():
+            text = text.encode().decode("latin-1")
+            for byte, mark in _WRITTEN:
+                text = text.replace(byte, mark)
+        return text.replace(" ", f" {SPACE}")
 
     def encode(chunks: list[str]) -> list[bytes]:
         # chunks with no space but the one in front are encoded as one text and told apart by it

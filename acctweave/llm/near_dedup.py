@@ -8,11 +8,12 @@ of lighter ones, and the earliest point of a slot agrees between two texts with
 their weighted Jaccard similarity. Points are made in the order of time, and a process ends once
 it is later than all slots of its text, so a text takes few points beyond its shingles.
 
-Equal multisets are collapsed first. In each bucket of a band the members are compared with the
-bucket's least member; those that are alike join its class. Members still of another class are
-compared with further leaders in later rounds, more of them each time, until each bucket holds one
-class or its members are all compared. Two texts are compared by a byte of every slot first, and only pairs that agree in
-enough slots by their shingles.
+Equal multisets are collapsed first. Each text is compared with the most central of the leaders of
+its buckets, which takes in most large classes. What still lies in a bucket with texts of another
+class is compared bucket by bucket: first by a byte of every slot, then, for those that agree with
+a text of another class in enough slots, by their shingles. A task gets the texts of a bucket, or of
+two slices of a large one, and returns only the links that join classes, so no table grows with the
+number of pairs.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 30, 7  # a pair of similarity 0.8 meets in a band but for 9 in 10,000
 SURE = 6.0  # standard deviations that a pair may agree in fewer slots than its similarity says
-MORE = 4  # times as many leaders a bucket in each round as in the one before
 SPLIT = 256  # slices of the members of a leader
+SLICE = 1_000_000  # shingles of a slice of a bucket, about; a task compares two slices
 
 
 def shingles(words: np.ndarray, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -172,6 +173,102 @@ def _alike(pairs: DataFrame, slots: DataFrame, texts: DataFrame, shingle: int, l
     return _compared(hand_off(agreeing, "agreeing"), texts, shingles_of, lambda x, y: similarity(x, y) >= least)
 
 
+def _cells(waiting: DataFrame, size: int) -> DataFrame:
+    """``cell``, ``node`` and ``component``: a bucket, or each two slices of one of more than ``size`` shingles."""
+    slices = waiting.groupBy("band", "bucket").agg(F.ceil(F.sum("size") / size).alias("k"))
+    own = F.pmod(F.xxhash64("node"), F.col("k"))
+    return (
+        waiting.join(slices, ["band", "bucket"])
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
+        .where((F.col("k") == 1) | (F.col("own") != F.col("other")))
+        .select(
+            F.xxhash64("band", "bucket", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
+            "node",
+            "component",
+        )
+    )
+
+
+def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """The cells that end in each batch, the rows of each as one batch; rows are in the order of cells."""
+    held = None
+    for batch in batches:
+        if held is not None:
+            batch = pa.concat_batches([held, batch])
+        cell = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(cell)) + 1).tolist()]
+        yield [batch.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        held = batch.slice(cuts[-1])
+    if held is not None and held.num_rows:
+        yield [held]
+
+
+def _outside(label: np.ndarray) -> np.ndarray:
+    """The rows of all labels but the most frequent one: pairs of unlike labels have one of these."""
+    return np.flatnonzero(label != np.bincount(label).argmax())
+
+
+def _meeting(cells: DataFrame, slots: DataFrame, enough: int) -> DataFrame:
+    """Of ``cells``, the rows that agree in enough slots with one of another component of their cell."""
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in _whole_cells(batches):
+            met = []
+            for rows in whole:
+                raw = np.array([np.frombuffer(x, np.uint8) for x in rows.column(3).to_pylist()])
+                _, label = np.unique(rows.column(2).to_numpy(), return_inverse=True)
+                found = np.zeros(len(label), bool)
+                for x in _outside(label):
+                    near = ((raw == raw[x]).sum(axis=1) >= enough) & (label != label[x])
+                    found |= near
+                    found[x] |= near.any()
+                if found.any():
+                    met.append(rows.select([0, 1, 2]).filter(pa.array(found)))
+            if met:
+                yield pa.concat_batches(met)
+
+    dealt = cells.join(slots, "node").select("cell", "node", "component", "slots").repartition("cell")
+    return dealt.sortWithinPartitions("cell").mapInArrow(meet, "cell bigint, node bigint, component bigint")
+
+
+def _joining(cells: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """Links (a, b) of similar texts that join all components of a cell that such links connect."""
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in _whole_cells(batches):
+            left, right = [], []
+            for rows in whole:
+                node = rows.column(1).to_numpy()
+                _, label = np.unique(rows.column(2).to_numpy(), return_inverse=True)
+                bags = []
+                for start, stop in rolling.chunks(rows.column(3)):
+                    words, text = rolling.word_hashes(rows.column(3).slice(start, stop - start))
+                    limits = np.searchsorted(text, np.arange(stop - start + 1))
+                    bags += [shingles(words[a:b], shingle) for a, b in zip(limits[:-1], limits[1:], strict=True)]
+                _, gram = np.unique(np.concatenate([h for h, _ in bags]), return_inverse=True)
+                count = np.concatenate([c for _, c in bags])
+                limits = np.cumsum([0, *(len(h) for h, _ in bags)])
+                total = np.add.reduceat(count, limits[:-1])
+                of = np.zeros(int(gram.max()) + 1, np.int64)  # counts in the text compared
+                for x in _outside(label):
+                    own = slice(limits[x], limits[x + 1])
+                    of[gram[own]] = count[own]
+                    both = np.add.reduceat(np.minimum(count, of[gram]), limits[:-1])
+                    of[gram[own]] = 0
+                    # as in ``similarity``
+                    near = np.flatnonzero((both / (total + total[x] - both) >= least) & (label != label[x]))
+                    if len(near):
+                        joined, first = np.unique(label[near], return_index=True)
+                        left += [node[x]] * len(first)
+                        right += node[near[first]].tolist()
+                        label[np.isin(label, joined)] = label[x]
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+
+    dealt = cells.join(texts, "node").select("cell", "node", "component", "text").repartition("cell")
+    return dealt.sortWithinPartitions("cell").mapInArrow(join, "a bigint, b bigint")
+
+
 def classes(
     docs: DataFrame,
     shingle: int = SHINGLE,
@@ -201,14 +298,14 @@ def classes(
     groups = hand_off(
         signed.where(F.col("size") > 0)
         .groupBy("m1", "m2")
-        .agg(F.min(F.struct("key", "tag", "bands", "slots")).alias("f"))
+        .agg(F.min(F.struct("key", "tag", "size", "bands", "slots")).alias("f"))
         .select("m1", "m2", "f.*"),
         "groups",
     ).withColumn("node", F.shiftrightunsigned(F.xxhash64("m1", "m2"), 1))
-    spread = groups.select("node", F.posexplode("bands").alias("band", "bucket"))
-    crowded = spread.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    spread = groups.select("node", "size", F.posexplode("bands").alias("band", "bucket"))
+    crowded = spread.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = hand_off(spread.join(crowded, ["band", "bucket"]), "members")
-    met = members.select("node").distinct()
+    met = members.groupBy("node").agg(F.sum("n").alias("meets"))
     slots = hand_off(groups.join(met, "node").select("node", "slots"), "slots")
     texts = hand_off(
         keyed.join(groups.join(met, "node").select("key", "tag", "node"), ["key", "tag"])
@@ -217,36 +314,21 @@ def classes(
         "texts",
     )
 
-    links, width = None, 1
-    labels = met.withColumn("component", F.col("node"))
-    # members that have not led their buckets yet, of buckets with several classes
-    waiting = members.withColumn("component", F.col("node"))
-    while True:
-        place = F.row_number().over(Window.partitionBy("band", "bucket").orderBy("node"))
-        leaders = (
-            waiting.withColumn("place", place)
-            .where(F.col("place") <= width)
-            .select("band", "bucket", F.col("node").alias("a"), F.col("component").alias("of"))
-        )
-        pairs = (
-            waiting.join(leaders, ["band", "bucket"])
-            .where((F.col("a") < F.col("node")) & (F.col("component") != F.col("of")))
-            .select("a", F.col("node").alias("b"))
-        )
-        # a node meets only the least of its leaders at first, which takes in most large classes
-        pairs = pairs.groupBy("b").agg(F.min("a").alias("a")) if links is None else pairs.distinct()
-        found = hand_off(_alike(pairs, slots, texts, shingle, least, bands * rows), "alike")
-        if links is None:
-            links = found
-        else:  # leaders are done when all others were compared with them
-            links = links.unionByName(found)
-            led = leaders.select("band", "bucket", F.col("a").alias("node"))
-            waiting = waiting.join(led, ["band", "bucket", "node"], "left_anti")
-        labels = _closer(labels, links)
-        waiting = _open(waiting.drop("component"), labels)
-        if waiting.isEmpty():
-            break
-        width *= MORE
+    # each node with the leader, of those of its buckets, that meets most others
+    leaders = (
+        members.join(met, "node").groupBy("band", "bucket").agg(F.max(F.struct("meets", "node")).alias("leader"))
+    )
+    pairs = (
+        members.join(leaders, ["band", "bucket"])
+        .groupBy(F.col("node").alias("b"))
+        .agg(F.max("leader")["node"].alias("a"))
+        .where("a != b")
+    )
+    links = hand_off(_alike(pairs, slots, texts, shingle, least, bands * rows), "alike")
+    labels = _closer(met.select("node", F.col("node").alias("component")), links)
+    cells = _cells(_open(members.select("band", "bucket", "node", "size"), labels), SLICE)
+    meeting = hand_off(_meeting(cells, slots, _agreeing(bands * rows, least)), "meeting")
+    links = links.unionByName(hand_off(_joining(meeting, texts, shingle, least), "joining"))
     named = groups.join(components(links), "node", "left").select(
         "m1", "m2", "key", "tag", F.coalesce("component", "node").alias("component")
     )
@@ -282,7 +364,7 @@ def _closer(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members with their labels, of the buckets that hold more than one label."""
-    told = members.join(labels, "node").select("band", "bucket", "node", "component")
+    told = members.join(labels, "node")
     mixed = (
         told.groupBy("band", "bucket")
         .agg(F.min("component").alias("x"), F.max("component").alias("y"))

@@ -61,6 +61,41 @@ def test_classes_equal_brute_force_over_chains_and_large_groups(spark):
     assert got == {i: top(i) for i in range(len(texts))}
 
 
+@pytest.mark.parametrize("size", [near_dedup.SLICE, 4_000])
+def test_near_copies_below_the_limit_make_no_table_of_their_pairs(spark, monkeypatch, size):
+    """160 copies that nearly all meet, of which few pairs are alike; also with buckets in slices."""
+    rng = random.Random(9)
+    large = words(rng, 150).split()
+    texts = []
+    for i in range(160):
+        own = list(large)
+        for k in rng.sample(range(150), 2):
+            own[k] = f"own{i}"
+        texts.append(" ".join(own))
+    bags = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    least = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if least[i] != least[j] and len(bags[i] & bags[j]) >= 0.8 * len(bags[i] | bags[j]):
+                a, b = sorted((least[i], least[j]))
+                least = [a if x == b else x for x in least]
+    written, hand_off = [], near_dedup.hand_off
+
+    def counted(df, name):
+        out = hand_off(df, name)
+        written.append((out.count(), name))
+        return out
+
+    monkeypatch.setattr(near_dedup, "hand_off", counted)
+    monkeypatch.setattr(near_dedup, "SLICE", size)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.key: r.class_key for r in near_dedup.classes(df).collect()}
+    assert got == dict(enumerate(least))
+    assert sum(n for n, name in written if name == "agreeing") <= len(texts)  # pairs handed on, over all rounds
+    if size > 4_000:  # slices are copied
+        assert max(written)[0] <= near_dedup.BANDS * len(texts), max(written)
+
+
 HOSTILE = {
     "quotes": "<b " + '"x' * 100_000,
     "tags": "<a " * 100_000,

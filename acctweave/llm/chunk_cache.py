@@ -16,8 +16,9 @@ REMEMBERED = 200_000
 #: The white space of ``\s`` other than a space.
 _OTHERS = "\n\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Latin letters, then ASCII that is no letter: the splitting pattern always cuts between the two.
-_CORE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([\x00-@\[-`{-\x7f].*)", re.S)
+#: Between Latin letters and other visible ASCII; the splitting pattern always cuts there.
+_EDGE = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ɏ])(?=[!-@\[-`{-~])")
+MARK = "\x01"  # begins a chunk that has no space in front
 
 
 def _near_space(text: str) -> bool:
@@ -33,9 +34,9 @@ def split(text: str) -> list[str]:
 class ChunkCache:
     """Ids (as bytes) of texts; ``encode`` gives those of a list of strings, none of them without ids.
 
-    With ``cores``, a new chunk of letters and what follows them, such as a word and its comma, is
-    put together from the two, which are remembered, too. It takes a splitting pattern that keeps
-    runs of letters apart from all others, but for a space in front.
+    With ``cores``, letters and what follows them, such as a word and its comma, are chunks of their
+    own. It takes a splitting pattern that keeps runs of letters apart from all others, but for a space
+    in front, and special tokens that all begin with ``<``: texts that hold one keep their chunks.
     """
 
     def __init__(
@@ -47,17 +48,19 @@ class ChunkCache:
         self.encode, self.remembered, self.cores = encode, remembered, cores
         self.now: dict[str, bytes] = {}  # by chunk, its space left out
         self.before: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}  # what follows a core, with no space in front
 
     def texts(self, texts: list[str]) -> list[bytes]:
         if len(self.now) > self.remembered:
             self.before, self.now = self.now, {}
-        if len(self.tails) > self.remembered:
-            self.tails = {}
         heads, rows, unknown = [], [], set()
         get = self.now.get
         for text in texts:
-            head, *chunks = split(text)
+            if not self.cores:
+                head, *chunks = split(text)
+            elif MARK in text:
+                head, chunks = text, []
+            else:
+                head, *chunks = split(text if "<" in text else _EDGE.sub(f" {MARK}", text))
             found = list(map(get, chunks))
             gaps = [] if all(found) else [k for k, ids in enumerate(found) if ids is None]
             missed = [chunks[k] for k in gaps]
@@ -75,26 +78,14 @@ class ChunkCache:
 
     def _learn(self, unknown: set[str], heads: list[str]) -> Sequence[bytes]:
         """Remember the ids of ``unknown`` chunks; returns those of ``heads``."""
-        now, before, tails = self.now, self.before, self.tails
-        new, parts = [], []
+        now, before = self.now, self.before
+        new = []
         for c in unknown:
-            known = before.get(c)
-            if known is not None:
-                now[c] = known
-            elif self.cores and not c.isalpha() and (cut := _CORE.fullmatch(c)):
-                parts.append((c, *cut.groups()))
-            else:
-                new.append(c)
-        for c in {core for _, core, _ in parts}.difference(now).difference(new):
             known = before.get(c)
             if known is None:
                 new.append(c)
             else:
                 now[c] = known
-        rest = list({tail for *_, tail in parts}.difference(tails))
-        ids = self.encode([" " + c for c in new] + rest + heads)
+        ids = self.encode([c[1:] if self.cores and c.startswith(MARK) else " " + c for c in new] + heads)
         now.update(zip(new, ids, strict=False))
-        tails.update(zip(rest, ids[len(new) :], strict=False))
-        for c, core, tail in parts:
-            now[c] = now[core] + tails[tail]
-        return ids[len(new) + len(rest) :]
+        return ids[len(new) :]

@@ -26,6 +26,16 @@ def test_a_word_is_encoded_once_whatever_follows_it():
     assert not {" word,", " word.", " wörd.\nword's"} & set(seen)
 
 
+def test_a_word_takes_one_place_whatever_follows_it():
+    cache = chunk_cache.ChunkCache(lambda chunks: [c.encode() for c in chunks], cores=True)
+    texts = ["a word, word. word; word! (word) word's end.", "a word, <b> word,", "a word\x01, \x01 word \x01, word,"]
+    for _ in range(2):
+        assert cache.texts(texts[:1]) == [texts[0].encode()]
+        assert sorted(c for c in cache.now if "word" in c) == ["(word", "word"]
+    for _ in range(2):
+        assert cache.texts(texts[::-1]) == [t.encode() for t in texts[::-1]]
+
+
 def test_remembered_chunks_give_the_ids_of_whole_texts():
     draw = random.Random(5)
     parts = [*"abzAZÀéÿßŁɏɐªº×÷́'’stl.,!?#\n\t \xa0\x85\x1c019²_-<|>日яß€😀­\x7f\x00"]
